@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ship import ship
@@ -54,34 +55,34 @@ def fold_space(text: Column) -> Column:
 
 def group_ranks(
     df: DataFrame,
-    group: list[str],
+    group: str,
     fine: str,
     order: list[str],
     out: str = "_rank",
-    total: str | None = None,
+    coarse: int = 512,
+    broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """Gapless rank (from 0) of each row in its ``group``, without sorting a whole group in one task.
 
-    ``fine`` is a column that splits every group into pieces of bounded size
-    (typically a hash bucket): rows are ordered by ``(fine, *order)``.  Only piece
-    counts pass through the window over a whole group, so a group holding a third
-    of all rows is numbered by as many tasks as it has pieces.
+    ``fine`` is an integer column without nulls that splits every group into
+    pieces of bounded size (a hash bucket): rows are ordered by ``(fine, *order)``.
+    Only counts of pieces are summed over a group, in two levels, so a group
+    holding a third of all rows is numbered by as many tasks as it has pieces.
     """
-    from pyspark.sql import Window as W
-
-    counts = df.groupBy(*group, fine).agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(*group).orderBy(fine).rowsBetween(W.unboundedPreceding, -1)
-    cols = [*group, fine, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")]
-    if total:
-        cols.append(F.sum("_n").over(W.partitionBy(*group)).alias(total))
-    starts = counts.select(*cols)
-    within = F.row_number().over(W.partitionBy(*group, fine).orderBy(*order)) - 1
-    ranked = df.withColumn("_within", within)
-    keys = [*group, fine]
-    joined = ranked.alias("r").join(starts.alias("s"), [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
-    kept = [F.col(f"r.{c}") for c in df.columns]
-    extra = [F.col(f"s.{total}")] if total else []
-    return joined.select(*kept, (F.col("r._within") + F.col("s._before")).cast("long").alias(out), *extra)
+    high = F.floor(F.col(fine) / coarse).alias("_high")
+    counts = df.groupBy(group, fine).agg(F.count(F.lit(1)).alias("_n")).select("*", high)
+    counts = materialise(counts, "counts")
+    over_high = W.partitionBy(group).orderBy("_high").rowsBetween(W.unboundedPreceding, -1)
+    over_fine = W.partitionBy(group, "_high").orderBy(fine).rowsBetween(W.unboundedPreceding, -1)
+    bases = counts.groupBy(group, "_high").agg(F.sum("_n").alias("_sum"))
+    bases = bases.select(group, "_high", F.coalesce(F.sum("_sum").over(over_high), F.lit(0)).alias("_base"))
+    inner = counts.withColumn("_inner", F.coalesce(F.sum("_n").over(over_fine), F.lit(0)))
+    starts = inner.join(bases, [group, "_high"]).select(group, fine, (F.col("_base") + F.col("_inner")).alias("_start"))
+    if counts.count() <= broadcast_rows:
+        starts = F.broadcast(starts)
+    within = F.row_number().over(W.partitionBy(group, fine).orderBy(*order)) - 1
+    ranked = df.withColumn("_within", within).join(starts, [group, fine])
+    return ranked.select(*df.columns, (F.col("_within") + F.col("_start")).cast("long").alias(out))
 
 
 # --------------------------------------------------------------------------- hashing

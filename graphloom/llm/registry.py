@@ -1,12 +1,16 @@
 """The queries of this subpackage, by name, and the DuckDB SQL of those that SQL can express."""
 
-from . import exact_dedup, sharding
+from . import exact_dedup, mixing, packing, sharding, topk_search
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_packing": packing.op6_packing,
+    "op9_topk_search": topk_search.op9_topk_search,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 SQL = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op9_topk_search": topk_search.OP9_SQL,
 }
