@@ -9,7 +9,9 @@ others in a tree until one window is left.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -30,11 +32,19 @@ PIECES = (
 )
 
 
+#: A word of Latin letters with ASCII signs behind: pre-tokenizers that part letters from the rest cut it there.
+LATIN_WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]+)([!-@\\[-`{-~][!-~]*)?")
+
+
 class WordTokenizer:
     """Token ids of texts, by memory of words.
 
-    For vocabularies whose pre-tokenizer drops white space, a text's ids are its
-    words' ids in a row; each word seen before is looked up.
+    For vocabularies that lower-case, drop white space and part letters from
+    other signs, a text's ids are its words' ids in a row, and a word's ids those
+    of its letters and of the signs behind.  Memory has two generations: words
+    that recur move to the young one, the old one is let go when the young one is
+    full.  New pieces are encoded together, a special token (found before any
+    other step) between them.
     """
 
     def __init__(self, path: str) -> None:
@@ -42,20 +52,62 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
+        self.words: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})
+        self.pieces: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        special = self.model.get_added_tokens_decoder()
+        self.specials = [t.content for t in special.values()]
+        self.mark = next(((i, t.content) for i, t in special.items() if t.special), None)
+        parts = json.loads(self.model.to_str())
+        steps = json.dumps([parts["normalizer"], parts["pre_tokenizer"]])
+        self.parted = '"Lowercase"' in steps and "[\\\\p{L}]+" in steps
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        joined = "" if self.mark is None else self.mark[1].join(texts)
+        if self.mark is None or sum(map(joined.count, self.specials)) >= len(texts):
+            return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
+        ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+    def _parts(self, word: bytes) -> tuple[str, str]:
+        text = word.decode("utf-8", "replace")
+        if self.parted and (m := LATIN_WORD.fullmatch(text)) and "<|" not in text:
+            return m[1].lower(), m[2] or ""
+        return text, ""
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
         words = text.encode("utf-8", "surrogatepass").split()  # on ASCII white space
-        memo = self.memo
-        new = [w for w in dict.fromkeys(words) if w not in memo]
+        young = self.words[0]
+        new = _recall(self.words, {*words}.difference(young))
         if new:
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list(dict.fromkeys(words))
-            found = self.model.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            memo.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
-        return b"".join([memo[w] for w in words])
+            parts = [self._parts(w) for w in new]
+            pieces = self.pieces[0]
+            unseen = _recall(self.pieces, {p for pair in parts for p in pair if p}.difference(pieces))
+            if unseen:
+                pieces.update(zip(unseen, self._encode(unseen), strict=True))
+            pieces[""] = b""
+            young.update((w, pieces[a] + pieces[b]) for w, (a, b) in zip(new, parts, strict=True))
+        out = b"".join([young[w] for w in words])
+        if len(young) > MEMO_WORDS:
+            self.words = ({}, young)
+        if len(self.pieces[0]) > MEMO_WORDS:
+            self.pieces = ({}, self.pieces[0])
+        return out
+
+
+def _recall(memory: tuple[dict, dict], keys: set) -> list:
+    """The keys that neither generation holds; those of the old one move to the young one."""
+    young, old = memory
+    unknown = []
+    for k in keys:
+        if k in old:
+            young[k] = old[k]
+        else:
+            unknown.append(k)
+    return unknown
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

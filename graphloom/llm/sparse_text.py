@@ -56,9 +56,9 @@ def letter_grams(text: str, n: int = 3, bits: int = 13) -> Sparse:
 
 
 def byte_grams(text: str, n: int = 3, bits: int = 15) -> Sparse:
-    """Counts of n-grams of UTF-8 bytes as written, of unit length."""
+    """Counts of n-grams of UTF-8 bytes as written, as shares (times 20) of all: short texts weigh as much as long ones."""
     at, value = _counts(_hashed(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32), n, bits), bits)
-    return at, value / max(float(np.sqrt(value @ value)), 1e-12)
+    return at, 20 * value / max(float(value.sum()), 1e-12)
 
 
 def bounded_sample(rows: DataFrame, group: str, per_group: int, key: str = "doc_id", seed: int = 5) -> DataFrame:

@@ -28,37 +28,48 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         by_id = np.argsort(ids, kind="stable")  # ties then go to the smaller id
-        self.ids, self.vectors = ids[by_id], np.ascontiguousarray(vectors[by_id])
-        self.order = np.argsort(self.vectors, axis=0, kind="stable")  # (n, dims), ascending
+        self.ids = ids[by_id]
+        # Sums of products stay far below 2**53 for components below 2**20: doubles hold them exactly.
+        exact = np.abs(vectors).max(initial=0) < 1 << 20
+        self.vectors = np.ascontiguousarray(vectors[by_id], np.float64 if exact else np.int64)
+        self.order = np.ascontiguousarray(np.argsort(self.vectors, axis=0, kind="stable").T.astype(np.int32))
 
-    def top(self, query: np.ndarray, k: int, own: int, first_depth: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, query: np.ndarray, k: int, own: int, first_depth: int = 256) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best vectors other than ``own``; equal scores by id."""
-        n, dims = self.vectors.shape
+        n = len(self.vectors)
+        query = query.astype(self.vectors.dtype)
         used = np.flatnonzero(query)
-        downward = query[used] > 0
-        seen = np.zeros(n, bool)
-        places, scores = np.empty(0, np.int64), np.empty(0, np.int64)
+        down, up = used[query[used] > 0], used[query[used] < 0]
+        open_ = self.ids != own
+        places, scores = np.empty(0, np.int64), np.empty(0, self.vectors.dtype)
         depth, step = 0, first_depth
         while depth < n:
             end = min(n, depth + step)
-            lists = self.order[:, used]
-            met = np.where(downward, lists[n - end : n - depth][::-1], lists[depth:end])
-            fresh = np.unique(met) if len(used) else np.arange(n)
-            fresh = fresh[~seen[fresh]]
-            seen[fresh] = True
-            fresh = fresh[self.ids[fresh] != own]
-            places = np.concatenate([places, fresh])
-            scores = np.concatenate([scores, self.vectors[fresh] @ query])
-            if len(places) > k:
-                best = np.lexsort((places, -scores))[:k]
-                places, scores = places[best], scores[best]
-            at = np.where(downward, lists[n - end], lists[end - 1])
-            bound = int((self.vectors[at, used] * query[used]).sum())
+            met = np.zeros(n, bool)
+            if len(used):
+                met[self.order[down, n - end : n - depth].ravel()] = True
+                met[self.order[up, depth:end].ravel()] = True
+            else:
+                met[:] = True
+            met &= open_
+            open_ &= ~met
+            fresh = np.flatnonzero(met)
+            seen = self.vectors[fresh] @ query
+            if len(scores) == k:  # only what beats or ties the k-th best matters
+                good = seen >= scores.min()
+                fresh, seen = fresh[good], seen[good]
+            elif len(seen) > 4 * k:
+                good = seen >= np.partition(seen, -k)[-k]
+                fresh, seen = fresh[good], seen[good]
+            places, scores = np.concatenate([places, fresh]), np.concatenate([scores, seen])
+            best = np.lexsort((places, -scores))[:k]
+            places, scores = places[best], scores[best]
+            bound = self.vectors[self.order[down, n - end], down] @ query[down]
+            bound += self.vectors[self.order[up, end - 1], up] @ query[up]
             if len(scores) == k and bound < scores.min():
                 break
             depth, step = end, step * 2
-        best = np.lexsort((places, -scores))
-        return self.ids[places[best]], scores[best]
+        return self.ids[places], scores.astype(np.int64)
 
 
 def quantise(vector: Column, scale: int = 1024) -> Column:
