@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from ..functions.ship import ship
 from .common import materialise, table
-from .sparse_text import bounded_sample, id_hash_mod, map_texts
+from .sparse_text import id_hash_mod, map_texts
 
-#: Labelled documents learned from, of each label at most.
-TRAIN_PER_LABEL = 900
+#: Labelled documents learned from at most: clean ones, toxic ones.
+TRAIN_PER_LABEL = (12_000, 4_000)
 #: A document is called toxic from this score on.
 CALL_FROM = 0.3
 MEMO_WORDS = 400_000
@@ -39,6 +39,7 @@ LOOK_ALIKES = {
 #: Costs in nats: a look-alike, a separator or repeat left out, a sign kept as a gap between words.
 COST_ALIKE, COST_DROP, COST_GAP = 1.0, 0.7, 3.0
 LONGEST_TOKEN = 64
+STEM_LENGTHS = range(3, 8)
 OUTER = ".,;:?!\"'()[]{}<>«»“”‘’`#%&*|~^=…-_/\\"
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 TRIPLE = re.compile(r"(.)\1\1")
@@ -141,50 +142,57 @@ def spaced_words(text: str, model: CharModel) -> list[str]:
     return found
 
 
-def traits(word: str) -> list[str]:
-    """What is counted of a word: itself and its beginnings of three to seven letters."""
-    return ["=" + word, *(word[:n] for n in range(3, min(len(word), 8)))]
-
-
-def doc_traits(text: str, model: CharModel) -> set[str]:
+def doc_words(text: str, model: CharModel) -> set[str]:
+    """Restored words of a whole text."""
     low = text.lower()
     words = {w for token in set(low.split()) for w in readings(token, model)}
     words.update(spaced_words(low, model))
-    return {x for w in words for x in traits(w)}
+    return words
 
 
-def lower_bound(p: np.ndarray, n: np.ndarray, z: float = 5.0) -> np.ndarray:
+def lower_bound(p: np.ndarray, n: np.ndarray, z: float = 5.5) -> np.ndarray:
     """Wilson's lower bound of a share ``p`` of ``n``; ``z`` is high since it holds for many thousands of traits at once."""
     return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
 @dataclass
 class ToxicityModel:
-    """Character model, and how surely each telling trait marks a toxic document."""
+    """Character model, and how surely each telling word marks a toxic document.
+
+    ``words`` holds words seen often enough, clean ones too where a telling stem
+    begins them; ``stems`` holds beginnings that unseen words are judged by.
+    """
 
     chars: CharModel
-    lexicon: dict[str, float]
+    words: dict[str, float]
+    stems: dict[str, float]
     base: float
     memo: dict[str, float] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "memo": {}}
 
+    def sureness(self, word: str) -> float:
+        known = self.words.get(word)
+        if known is None:
+            known = max((self.stems.get(word[:n], 0.0) for n in STEM_LENGTHS), default=0.0)
+        return known
+
     def word_score(self, token: str) -> float:
         known = self.memo.get(token)
         if known is None:
-            known = max((self.lexicon.get(x, 0.0) for w in readings(token, self.chars) for x in traits(w)), default=0.0)
+            known = max(map(self.sureness, readings(token, self.chars)), default=0.0)
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
             self.memo[token] = known
         return known
 
     def score(self, text: str) -> float:
-        """The surest trait of the restored text, at least the base rate's smallest share."""
+        """That of the surest word of the restored text, and at least ``base``."""
         low = text.lower()
         best = max(map(self.word_score, set(low.split())), default=0.0)
         for w in spaced_words(low, self.chars):
-            best = max(best, max(self.lexicon.get(x, 0.0) for x in traits(w)))
+            best = max(best, self.sureness(w))
         return max(best, self.base)
 
 
@@ -212,53 +220,69 @@ def train(
     labels: DataFrame,
     chars: CharModel,
     label: str = "toxic",
-    per_label: int = TRAIN_PER_LABEL,
+    per_label: tuple[int, int] = TRAIN_PER_LABEL,
     least_hits: int = 8,
 ) -> ToxicityModel:
-    """Learn the lexicon from at most ``per_label`` labelled documents of each label, by a seeded hash of the id.
+    """Learn the lexicon from at most ``per_label`` labelled documents (clean, toxic), by a seeded hash of the id.
 
-    A trait counts once per distinct text.  Counts are
-    weighted by how many labelled documents one of the sample stands for.  Kept
-    are traits of at least ``least_hits`` toxic texts whose share of toxic texts
-    is surely a fifth.
+    A word counts once per distinct text, weighted by how many labelled documents
+    one of the sample stands for.  Telling words are in ``least_hits`` toxic texts
+    or more and their share of toxic texts is surely a fifth.  A stem counts words,
+    not texts, so one common word doesn't make its beginning telling.
     """
     ship(docs.sparkSession)
     rated = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     rated = rated.select("doc_id", F.col(label).cast("int").alias("_label"))
-    ids = bounded_sample(rated, "_label", per_label).dropDuplicates(["doc_id"])
+    drawn = [rated.where(F.col("_label") == y).orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(m) for y, m in enumerate(per_label)]
+    ids = drawn[0].unionByName(drawn[1]).dropDuplicates(["doc_id"])
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text IS NOT NULL")
     all_of = {r["_label"]: r["count"] for r in rated.groupBy("_label").count().collect()}
-    weight = [max(1.0, all_of.get(y, 0) / per_label) for y in (0, 1)]
+    weight = [max(1.0, all_of.get(y, 0) / per_label[y]) for y in (0, 1)]
     sample = materialise(sample.select("_label", "text").dropDuplicates(), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits: list[Counter[str]] = [Counter(), Counter()]
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                hits[y].update(doc_traits(t, chars))
-        names = list(hits[1])  # a trait of no toxic text tells nothing
-        clean = [hits[0][x] for x in names]
-        for x in hits[0]:
-            if x not in hits[1]:
-                names.append(x)
-                clean.append(hits[0][x])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names), pa.array([hits[1][x] for x in names], pa.int64()), pa.array(clean, pa.int64())],
-            ["trait", "toxic", "clean"],
-        )
+                hits[y].update(doc_words(t, chars))
+        names = list(hits[0] | hits[1])
+        counts = [pa.array([h[x] for x in names], pa.int64()) for h in hits]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], ["word", "clean", "toxic"])
 
     found = (
-        sample.mapInArrow(count, "trait string, toxic long, clean long")
-        .groupBy("trait")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= least_hits) & (F.col("toxic") * 4 >= F.col("clean")))
-        .toPandas()
+        sample.mapInArrow(count, "word string, clean long, toxic long")
+        .groupBy("word")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum(F.col("toxic") + F.col("clean")).alias("n"))
+        .withColumn("share", F.col("toxic") * weight[1] / (F.col("toxic") * weight[1] + F.col("clean") * weight[0]))
+    )
+    found = materialise(found, "toxicity-words")
+    beginnings = F.array_distinct(F.transform(F.array(*map(F.lit, STEM_LENGTHS)), lambda n: F.left("word", n)))
+    stems = (
+        found.withColumn("stem", F.explode(beginnings))
+        .where(F.length("stem") >= STEM_LENGTHS[0])
+        .groupBy("stem")
+        .agg(
+            F.sum(F.col("toxic") / F.col("n")).alias("t"),
+            F.sum(F.col("clean") / F.col("n")).alias("c"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum("toxic").alias("toxic"),
+        )
+        .withColumn("share", F.col("t") * weight[1] / (F.col("t") * weight[1] + F.col("c") * weight[0]))
     )
-    toxic, clean = found["toxic"].to_numpy(np.float64), found["clean"].to_numpy(np.float64)
-    share = toxic * weight[1] / (toxic * weight[1] + clean * weight[0])
-    sure = lower_bound(share, toxic + clean)
-    lexicon = {t: float(p) for t, p in zip(found["trait"], sure, strict=True) if p >= 0.2}
-    return ToxicityModel(chars, lexicon, 0.01)
+    telling = stems.where((F.col("toxic") >= least_hits) & (F.col("n") >= least_hits) & (F.col("share") >= 0.2)).toPandas()
+    sure = lower_bound(telling["share"].to_numpy(np.float64), telling["n"].to_numpy(np.float64), 3.0)
+    stem_table = {t: float(p) for t, p in zip(telling["stem"], sure, strict=True) if p >= 0.2}
+    # Words of the sample that matter: often toxic ones, and known ones under a telling stem.
+    under = F.exists(beginnings, lambda x: x.isin([*stem_table])) if stem_table else F.lit(False)
+    hot = (F.col("toxic") >= least_hits) & (F.col("share") >= 0.2)
+    words = found.where(hot | ((F.col("n") >= 4) & under)).toPandas()
+    sure = lower_bound(words["share"].to_numpy(np.float64), words["n"].to_numpy(np.float64))
+    word_table = {
+        w: float(p)
+        for w, p, q, n in zip(words["word"], sure, words["share"], words["n"], strict=True)
+        if p >= 0.2 or q < 0.5 or n >= 12
+    }
+    return ToxicityModel(chars, word_table, stem_table, 0.01)
 
 
 def score(docs: DataFrame, model: ToxicityModel, call_from: float = CALL_FROM) -> DataFrame:
