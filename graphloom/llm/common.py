@@ -48,6 +48,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which is cheap to count, marked for broadcast if it has no more than ``rows`` rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def fold_space(text: Column) -> Column:
     """Null as empty, each run of ASCII white space as one space (not trimmed)."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), ASCII_SPACE, " ")
@@ -155,4 +160,4 @@ def window_hashes(words: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
     total = np.zeros(len(words) + 1, np.uint64)
     x = mix64(words + np.uint64(salt) * _GOLD) if salt else words
     np.cumsum(x * up[: len(words)], out=total[1:])
-    return mix64((total[size:] - total[:n]) * down[:n] + np.uint64(size + 1) * _GOLD)
+    return mix64((total[size:] - total[:n]) * down[:n] + np.uint64((size + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
