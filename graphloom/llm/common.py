@@ -53,6 +53,12 @@ def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def without_ids(docs: DataFrame, gone: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose ``doc_id`` is in ``gone``; rows of null id stay."""
+    gone = materialise(gone.select("doc_id").where("doc_id IS NOT NULL"), "gone")
+    return docs.join(broadcast_if(gone, rows), "doc_id", "left_anti").select(docs.columns)
+
+
 def fold_space(text: Column) -> Column:
     """Null as empty, each run of ASCII white space as one space (not trimmed)."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), ASCII_SPACE, " ")

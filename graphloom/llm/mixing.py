@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import group_ranks, materialise, table
+from .common import group_ranks, table
 
 #: With more sources than this, sources share lanes by hash, and lanes are scheduled.
 MAX_LANES = 256
@@ -138,8 +138,7 @@ def mix(
 
 def in_order(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of the rows, files and rows in them by position."""
-    rows = materialise(mixed, "mixed")
-    return rows.repartitionByRange("position").sortWithinPartitions("position").select(*columns)
+    return mixed.repartitionByRange("position").sortWithinPartitions("position").select(*columns)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,11 @@ and the probability of at least a wanted grade, by which documents are selected.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,6 +121,20 @@ def assess(docs: DataFrame, model: OrdinalModel, least: int | None = None, keep_
     return map_texts(docs, judge, "expected_grade double, tail_prob double, kept boolean")
 
 
+def keep_good(docs: DataFrame, model: OrdinalModel, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`assess` would keep."""
+    ship(docs.sparkSession)
+    at_least = min(1, len(model.grades) - 1)
+    text = docs.columns.index("text")
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = [model.assess(byte_grams(t or ""), at_least)[1] >= keep_from for t in b.column(text).to_pylist()]
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(select, docs.schema)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by a model of the ratings in ``labels``."""
     docs = table(spark, sf_dir, "documents")
