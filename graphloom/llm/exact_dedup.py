@@ -72,6 +72,8 @@ def _words(digests: pd.Series) -> np.ndarray:
 
 def _resolve(history: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
     """One bucket: each distinct digest with the winner and the size of its group."""
+    empty = pd.DataFrame({"digest": [], "first_id": [], "n": []}, dtype=object)
+    history, batch = (side if len(side) else empty for side in (history, batch))  # an absent side has no columns
     keys, new = _words(history["digest"]), _words(batch["digest"])
     index = PerfectHash(keys)
     place = index.slots(keys)
@@ -81,7 +83,7 @@ def _resolve(history: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
     slot = index.slots(new)
     member = slot >= 0
     member[member] = (digest[slot[member]] == new[member]).all(axis=1)
-    np.add.at(rows, slot[member], batch["n"].to_numpy()[member])
+    np.add.at(rows, slot[member], batch["n"].to_numpy(np.int64)[member])
     raw = np.empty(len(keys), object)
     raw[place] = history["digest"].to_numpy()
     known = pd.DataFrame({"digest": raw, "keep_id": winner, "group_size": rows})
@@ -126,6 +128,8 @@ def exact_dedup(
     bucket = F.pmod(F.xxhash64("digest"), F.lit(n_buckets)).alias("bucket")
     old = rows.where("old").groupBy("digest").agg(first, size).select(bucket, "*")
     new = rows.where("NOT old").groupBy("digest").agg(first, size).select(bucket, "*")
+    # Fresh attributes: sides of a cogroup that share some lose columns when later ones are pruned.
+    new = new.select(*(F.col(c).alias(c) for c in new.columns))
     groups = (
         old.groupBy("bucket")
         .cogroup(new.groupBy("bucket"))

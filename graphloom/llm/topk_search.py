@@ -116,7 +116,7 @@ def top_k(
         "vec_id", "v", "dims", (spread % blocks).cast("int").alias("block"), every(groups).alias("group")
     )
     queries = rows.where("asks").select(
-        "vec_id", "v", "dims", every(blocks).alias("block"), (spread % groups).cast("int").alias("group")
+        *(F.col(c).alias(c) for c in ("vec_id", "v", "dims")), every(blocks).alias("block"), (spread % groups).cast("int").alias("group")
     )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
