@@ -4,12 +4,13 @@ A signature has ``chunks`` chunks of four components of 32 bits.  Two signatures
 that differ in fewer than ``2 * chunks`` components have, by the pigeonhole
 principle, a chunk with one difference at most; each chunk is therefore indexed
 four times, one component left out each time, and equal keys find all such
-pairs.  Documents that share a key are candidates; links are confirmed on the
-full sets of shingles.
+pairs.  Documents that share a key and differ in few enough components
+(:func:`farthest`) are candidates; links are confirmed on the full sets of shingles.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +25,18 @@ from .common import broadcast_if, materialise, mix64, table, window_hashes, word
 from .components import connected_components
 
 CHUNKS, WIDTH = 8, 4
+#: Components of a signature; the index uses the first ``CHUNKS * WIDTH``.
+COMPONENTS = 64
+#: Chance that a pair just as similar as asked differs in too many components to be confirmed.
+MISS = 1e-7
+#: Signatures that share a key and are compared with each other; those of a key with more are all candidates.
+KEY_ROWS = 512
 #: Sets of a candidate class compared in one task; a larger class is dealt out.
-CLASS_ROWS = 100
+CLASS_ROWS = 4096
 #: Sets of a large class that all its tasks get.
 LEADERS = 8
-_MULTIPLY = mix64(np.arange(1, CHUNKS * WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_ADD = mix64(np.arange(101, CHUNKS * WIDTH + 101, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_MULTIPLY = mix64(np.arange(1, COMPONENTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_ADD = mix64(np.arange(1001, COMPONENTS + 1001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -50,7 +57,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 def keys(signatures: np.ndarray) -> np.ndarray:
     """Keys of n signatures, shape (n, chunks * width): per chunk and component left out one."""
-    s = mix64(signatures.astype(np.uint64).reshape(-1, CHUNKS, WIDTH) + (np.arange(WIDTH, dtype=np.uint64) << np.uint64(32)))
+    s = mix64(signatures[:, : CHUNKS * WIDTH].astype(np.uint64).reshape(-1, CHUNKS, WIDTH) + (np.arange(WIDTH, dtype=np.uint64) << np.uint64(32)))
     rest = s.sum(axis=2, keepdims=True) - s
     name = mix64(np.arange(1, CHUNKS * WIDTH + 1, dtype=np.uint64)).reshape(CHUNKS, WIDTH)
     return mix64(rest ^ name).reshape(len(signatures), -1)
@@ -65,22 +72,18 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (small + large - common)
 
 
-class Forest:
-    """Union-find over 0..n-1."""
+class Clusters:
+    """Disjoint sets of 0..n-1 as an array of labels, for vectorised questions."""
 
     def __init__(self, n: int) -> None:
-        self.up = list(range(n))
+        self.label = np.arange(n)
 
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
+    def join(self, i: int, j: int) -> None:
+        self.label[self.label == self.label[j]] = self.label[i]
 
-    def union(self, i: int, j: int) -> bool:
-        a, b = self.find(i), self.find(j)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
+    def apart(self, i: int, js: np.ndarray) -> np.ndarray:
+        """Those of ``js`` that aren't with ``i``."""
+        return js[self.label[js] != self.label[i]]
 
 
 def _sets_of(docs: DataFrame, size: int) -> DataFrame:
@@ -116,16 +119,66 @@ def _keyed(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "signature").mapInArrow(run, "key long, node long")
 
 
+def farthest(percent: int) -> int:
+    """Most components in which a candidate pair may differ: the binomial quantile that leaves ``MISS``."""
+    p, n, left, k = 1 - percent / 100, COMPONENTS, 1.0, -1
+    while left > MISS:
+        k += 1
+        left -= math.comb(n, k) * p**k * (1 - p) ** (n - k)
+    return k
+
+
+def _close(signatures: np.ndarray, i: int, most: int) -> np.ndarray:
+    """Rows after ``i`` that differ from it in ``most`` components at most."""
+    far = (signatures[i + 1 :] != signatures[i]).sum(axis=1)
+    return np.flatnonzero(far <= most) + i + 1
+
+
+def _forest_of_keys(most: int):
+    """Candidate links of each key: of the close pairs, enough to join what they join."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["key", "node"], kind="stable")
+        key, node = rows["key"].to_numpy(np.int64), rows["node"].to_numpy(np.int64)
+        signs = np.frombuffer(b"".join(rows["signature"]), "<u4").reshape(len(rows), -1)
+        edges = np.append(np.flatnonzero(np.diff(key, prepend=key[0] - 1)), len(key))
+        out: set[tuple[int, int]] = set()
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            clusters = Clusters(b - a)
+            for i in range(b - a - 1):
+                near = clusters.apart(i, _close(signs[a:b], i, most))
+                while len(near):
+                    clusters.join(i, near[0])
+                    out.add((int(node[a + i]), int(node[a + near[0]])))
+                    near = clusters.apart(i, near)
+        return pd.DataFrame(sorted(out), columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def candidates(nodes: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` whose components hold every pair of ``nodes`` that shares a key and is close."""
+    keyed = _keyed(nodes)
+    shared = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = materialise(shared.where("head < last").select("key", "head", "n"), "shared-keys")
+    met = keyed.join(broadcast_if(shared, 1_000_000), "key")
+    stars = met.where((F.col("n") > KEY_ROWS) & (F.col("head") != F.col("node"))).select(F.col("head").alias("a"), F.col("node").alias("b"))
+    tasks = max(64, -(-shared.count() // 2_000))
+    few = met.where(F.col("n") <= KEY_ROWS).select("key", "node").join(nodes.select("node", "signature"), "node")
+    close = few.groupBy(F.pmod(F.xxhash64("key"), F.lit(tasks)).alias("task")).applyInPandas(_forest_of_keys(farthest(percent)), "a long, b long")
+    return materialise(stars.unionByName(close).distinct(), "candidates")
+
+
 def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     """Members of candidate classes with their sets, each read from its text once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t or "", size).astype("<u8").tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary()), b.column(2), b.column(3)], ["node", "hashes", "class", "n"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary()), *b.columns[2:]], ["node", "hashes", "class", "n", "signature"])
 
-    rows = docs.join(broadcast_if(members, 400_000), F.col("doc_id") == F.col("node")).select("doc_id", "text", "class", "n")
-    return rows.mapInArrow(run, "node long, hashes binary, class long, n long")
+    rows = docs.join(broadcast_if(members, 400_000), F.col("doc_id") == F.col("node")).select("doc_id", "text", "class", "n", "signature")
+    return rows.mapInArrow(run, "node long, hashes binary, class long, n long, signature binary")
 
 
 def _confirm(percent: int, asking: bool = False):
@@ -134,23 +187,30 @@ def _confirm(percent: int, asking: bool = False):
     ``asking``: only between rows that ask and rows that don't or ask later.
     """
 
+    most = farthest(percent)
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node", kind="stable")
         node, group = rows["node"].to_numpy(np.int64), rows["class"].to_numpy(np.int64)
         sets = [np.frombuffer(h, "<u8") for h in rows["hashes"]]
+        signs = np.frombuffer(b"".join(rows["signature"]), "<u4").reshape(len(rows), -1)
         asks = rows["asks"].to_numpy(bool) if asking else np.ones(len(rows), bool)
         known = rows["cluster"].to_numpy(np.int64) if asking else node
-        forest, out = Forest(len(rows)), []
-        seat: dict[int, int] = {}
-        for i, k in enumerate(known.tolist()):
-            forest.union(seat.setdefault(k, i), i)
+        out: list[tuple[int, int]] = []
         for c in np.unique(group):
-            at = np.flatnonzero(group == c).tolist()
-            for y, j in enumerate(at):
-                for i in at[:y]:
-                    if (asks[i] or asks[j]) and forest.find(i) != forest.find(j) and linked(sets[i], sets[j], percent):
-                        forest.union(i, j)
-                        out.append((int(node[i]), int(node[j])))
+            at = np.flatnonzero(group == c)
+            clusters = Clusters(len(at))
+            if asking:  # what is joined already
+                _, clusters.label = np.unique(known[at], return_inverse=True)
+            for i in range(len(at) - 1):
+                near = clusters.apart(i, _close(signs[at], i, most))
+                near = near if asks[at[i]] else near[asks[at[near]]]
+                while len(near):
+                    x, y = int(at[i]), int(at[near[0]])
+                    if linked(sets[x], sets[y], percent):
+                        clusters.join(i, near[0])
+                        out.append((int(node[x]), int(node[y])))
+                    near = clusters.apart(i, near[1:])
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return run
@@ -183,25 +243,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sets = materialise(_sets_of(slim, size), "sets")
     nodes = sets.where("set_hash IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature"))
     nodes = materialise(nodes, "nodes")
-    keyed = _keyed(nodes)
-    heads = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
-    heads = materialise(heads, "heads")
-    stars = keyed.join(broadcast_if(heads, 1_000_000), "key").where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    classes = connected_components(stars).select("node", F.col("component").alias("class"))
+    classes = connected_components(candidates(nodes, percent)).select("node", F.col("component").alias("class"))
     sizes = classes.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    members = materialise(classes.join(sizes, "class").select("node", "class", "n"), "members")
+    members = classes.join(sizes, "class").join(nodes.select("node", "signature"), "node").select("node", "class", "n", "signature")
+    members = materialise(members, "members")
     full = materialise(_with_sets(slim, members, size), "candidate-sets")
 
     seat = F.pmod(F.xxhash64(F.lit(3), "node"), F.ceil(F.col("n") / CLASS_ROWS))
     small = full.where(F.col("n") <= CLASS_ROWS)
     large = full.where(F.col("n") > CLASS_ROWS)
     tasks = max(64, -(-members.count() // 400))
-    dealt = small.select("node", "hashes", "class", F.pmod(F.xxhash64("class"), F.lit(tasks)).alias("task"), F.lit(0).cast("long").alias("seat"))
-    spread = large.select("node", "hashes", "class", F.lit(-1).cast("long").alias("task"), seat.alias("seat"))
+    dealt = small.select("node", "hashes", "signature", "class", F.pmod(F.xxhash64("class"), F.lit(tasks)).alias("task"), F.lit(0).cast("long").alias("seat"))
+    spread = large.select("node", "hashes", "signature", "class", F.lit(-1).cast("long").alias("task"), seat.alias("seat"))
     first = W.partitionBy("class").orderBy(F.xxhash64(F.lit(11), "node"), "node")
     chosen = members.where(F.col("n") > CLASS_ROWS).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= LEADERS).select("node")
     leaders = large.join(broadcast_if(materialise(chosen, "leaders"), 100_000), "node", "left_semi")
-    copies = leaders.select("node", "hashes", "class", F.lit(-1).cast("long").alias("task"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / CLASS_ROWS) - 1)).alias("seat"))
+    copies = leaders.select("node", "hashes", "signature", "class", F.lit(-1).cast("long").alias("task"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / CLASS_ROWS) - 1)).alias("seat"))
     spread = spread.unionByName(copies).dropDuplicates(["node", "seat"])
     found = dealt.groupBy("task").applyInPandas(_confirm(percent), "a long, b long")
     found = found.unionByName(spread.groupBy("class", "seat").applyInPandas(_confirm(percent), "a long, b long"))
@@ -222,12 +279,12 @@ def _outside(large: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     counts = clusters.groupBy("class", "cluster").agg(F.count(F.lit(1)).alias("k"))
     main = counts.groupBy("class").agg(F.max_by("cluster", F.struct("k", "cluster")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("k"))
     main = main.where("k < n").select("class", "main", F.ceil((F.col("n") - F.col("k")) / CLASS_ROWS).alias("blocks"), F.ceil(F.col("n") / CLASS_ROWS).alias("rows"))
-    rows = large.select("node", "hashes", "class").join(clusters.select("node", "cluster"), "node").join(broadcast_if(materialise(main, "main"), 100_000), "class")
+    rows = large.select("node", "hashes", "signature", "class").join(clusters.select("node", "cluster"), "node").join(broadcast_if(materialise(main, "main"), 100_000), "class")
     rows = rows.withColumn("outside", F.col("cluster") != F.col("main"))
     h = F.xxhash64(F.lit(29), "node")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    asks = rows.where("outside").select("node", "hashes", "class", "cluster", F.lit(True).alias("asks"), F.pmod(h, F.col("blocks")).alias("block"), every(F.col("rows")).alias("part"))
-    rest = rows.select("node", "hashes", "class", "cluster", F.lit(False).alias("asks"), every(F.col("blocks")).alias("block"), F.pmod(h, F.col("rows")).alias("part"))
+    asks = rows.where("outside").select("node", "hashes", "signature", "class", "cluster", F.lit(True).alias("asks"), F.pmod(h, F.col("blocks")).alias("block"), every(F.col("rows")).alias("part"))
+    rest = rows.select("node", "hashes", "signature", "class", "cluster", F.lit(False).alias("asks"), every(F.col("blocks")).alias("block"), F.pmod(h, F.col("rows")).alias("part"))
     return asks.unionByName(rest).groupBy("class", "block", "part").applyInPandas(_confirm(percent, True), "a long, b long")
 
 
