@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.ship import ship
 from .common import materialise, table
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, ids binary, source_part long"
@@ -231,7 +231,7 @@ def pack(
                 ids = encode(text or "") + last
                 for window in packer.add(doc, 0, ids, len(ids) // 4):
                     rows += window
-                if len(rows) >= 4096:
+                if len(rows) >= 512:
                     yield _table(rows, None, with_ids)
                     rows = []
             if rows:

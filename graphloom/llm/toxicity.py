@@ -28,7 +28,7 @@ from .sparse_text import id_hash_mod, map_texts
 TRAIN_PER_LABEL = (12_000, 4_000)
 #: A document is called toxic from this score on.
 CALL_FROM = 0.3
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 # ---- fixed values: what a sign may stand for
 LOOK_ALIKES = {
