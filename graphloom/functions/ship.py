@@ -22,4 +22,7 @@ def ship(spark: SparkSession) -> None:
         for path in sorted(p for p in root.rglob("*") if p.suffix in (".py", ".yaml", ".sql")):
             z.write(path, str(path.relative_to(root.parent)))
     spark.sparkContext.addPyFile(str(archive))
+    # Texts may be long: small Arrow batches keep Python workers small.
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     _shipped.add(app)
