@@ -180,7 +180,9 @@ def interactions(points: DataFrame, registry: Registry | None = None, types: lis
     a = F.col("attributes")
     text = lambda name: F.try_element_at(a, F.lit(name))["v"]
     rows = points.where(F.col("reason").isNull() & (F.col("metric_name") == INTERACTION))
-    rows = rows.withColumns({"_connection": connection_type(a), **{f"_{s}": extract_entities(side(a, s, text(s)), lane, registry, types) for s in _SIDES}})
+    # One projection after the other: each is evaluated once per row, however often the next refers to it.
+    rows = rows.withColumns({"_connection": connection_type(a), **{f"_{s}_side": side(a, s, text(s)) for s in _SIDES}})
+    rows = rows.withColumns({f"_{s}": extract_entities(F.col(f"_{s}_side"), lane, registry, types) for s in _SIDES})
     rows = rows.withColumns({f"_{s}_ids": id_map(F.col(f"_{s}")) for s in _SIDES})
     mine, theirs = (F.col(f"_{s}_ids") for s in _SIDES)
     observed = [expand_edges(x, x, lane, "observation", None, registry, types) for x in (mine, theirs)]

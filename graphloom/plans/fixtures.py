@@ -38,7 +38,7 @@ def interaction_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     line = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     point = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    line = line.withColumn("point_id", (point * 1000 + F.col("l_partkey") % 1000) * 100 + F.col("l_suppkey") % 100)
+    line = line.withColumn("point_id", ((point * 1000 + F.col("l_partkey") % 1000) * 100 + F.col("l_suppkey") % 100) * 64 + F.col("l_quantity").cast("long"))
     connection = F.when(F.col("l_linenumber") == 7, "future_protocol").when(F.col("l_returnflag") == "A", "messaging_system").when(F.col("l_returnflag") == "R", "database")
     method = F.element_at(F.array(*map(F.lit, ("GET", "POST", "BREW"))), (F.col("l_linenumber") % 3 + 1).cast("int"))
     a = attributes(

@@ -8,7 +8,7 @@ AS_OF = 946_684_800_000_000_000
 
 POINTS = """
 ev AS (
-  SELECT ((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000) * 100 + l_suppkey % 100 AS point_id,
+  SELECT (((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000) * 100 + l_suppkey % 100) * 64 + CAST(l_quantity AS BIGINT) AS point_id,
          (l_orderkey * 10 + l_linenumber) % 13 <> 0 AS ours,
          (l_orderkey * 10 + l_linenumber) % 101 <> 0 AS is_sum,
          (l_orderkey * 10 + l_linenumber) % 103 <> 0 AS delta,
@@ -180,8 +180,8 @@ SQL: dict[str, str] = {
     "percent_encode_ids": "SELECT p_partkey, 'part:' || url_encode(p_brand) || ':' || url_encode(p_name || ' é/*~+%:' || p_type) AS element_id FROM part",
     "edge_ids": f"WITH {CONTRIBUTIONS} SELECT DISTINCT element_id, type, source_id, target_id FROM edges",
     "contributor_ids": f"WITH {CONTRIBUTIONS} SELECT DISTINCT point_id, contributor_id FROM who",
-    "extract_entities": f"""WITH {CONTRIBUTIONS}, x AS (SELECT point_id, element_id, type, unnest(map_entries(a)) AS e FROM nodes)
-        SELECT point_id, element_id, type, '{{' || string_agg('"' || e.key || '":"' || e.value || '"', ',' ORDER BY e.key) || '}}' AS attributes FROM x GROUP BY ALL""",
+    "extract_entities": f"""WITH {CONTRIBUTIONS} SELECT point_id, element_id, type,
+        '{{' || array_to_string(list_transform(list_sort(map_keys(a)), lambda k: '"' || k || '":"' || a[k] || '"'), ',') || '}}' AS attributes FROM nodes""",
     "observation_edges": f"WITH {CONTRIBUTIONS} SELECT point_id, type, source_id, target_id FROM edges WHERE type IN ('contains', 'exposes')",
     "interaction_edges": f"WITH {CONTRIBUTIONS} SELECT point_id, type, source_id, target_id FROM edges WHERE type NOT IN ('contains', 'exposes')",
     "unsupported_connection_keeps_nodes": f"""WITH {CONTRIBUTIONS} SELECT kind, type, count(*) AS n FROM contrib
@@ -264,7 +264,7 @@ SQL: dict[str, str] = {
         SELECT id, CAST(min(distance) AS INTEGER) AS distance FROM r GROUP BY id""",
     "span_pairing": f"WITH {SPANS} SELECT trace_id, CAST(ct AS VARCHAR) AS client_span, CAST(st AS VARCHAR) AS server_span FROM paired",
     "servicegraph_counts": f"WITH {SPANS} SELECT client, server, count(*) AS requests FROM paired GROUP BY ALL",
-    "cumulative_to_delta": """WITH x AS (SELECT l_suppkey, ((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000) * 100 + l_suppkey % 100 AS seq, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+    "cumulative_to_delta": """WITH x AS (SELECT l_suppkey, (((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000) * 100 + l_suppkey % 100) * 64 + CAST(l_quantity AS BIGINT) AS seq, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
         y AS (SELECT *, lag(q) OVER (PARTITION BY l_suppkey ORDER BY seq) AS b FROM x), z AS (SELECT seq, CASE WHEN b IS NULL OR q < b THEN q ELSE q - b END AS delta FROM y)
         SELECT seq, delta FROM z WHERE delta <> 0""",
     "root_span_filter": f"WITH {SPANS} SELECT trace_id, CAST(turn AS VARCHAR) AS span_id FROM roots",

@@ -428,7 +428,7 @@ def servicegraph_counts(spark: SparkSession, d: str) -> DataFrame:
 @query
 def cumulative_to_delta(spark: SparkSession, d: str) -> DataFrame:
     """Quantities of each supplier's line items as a counter that falls back now and then."""
-    line = fx.read(spark, d, "lineitem").select("l_suppkey", F.expr("((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000) * 100 + l_suppkey % 100").alias("seq"), F.col("l_quantity").cast("long").alias("value"))
+    line = fx.read(spark, d, "lineitem").select("l_suppkey", F.expr("(((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000) * 100 + l_suppkey % 100) * 64 + CAST(l_quantity AS BIGINT)").alias("seq"), F.col("l_quantity").cast("long").alias("value"))
     return up.cumulative_to_delta(line, ["l_suppkey"], "seq").select("seq", "delta")
 
 
