@@ -56,7 +56,7 @@ def shard(
     Scale: one shuffle of the rows; a bucket holds about ``bucket_bytes`` of
     text.  Only the counts of buckets are summed up, in two levels.
     """
-    carried = [c for c in docs.columns if c.lower() not in ("shard", "slot", "_bucket")]
+    carried = [c for c in docs.columns if c.lower() not in ("shard", "slot", "_bucket", "_place", "_of", "_start", "_at")]
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
     total, n_rows = docs.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
     n_buckets = max(min_buckets, -(-total // bucket_bytes))
@@ -64,7 +64,7 @@ def shard(
     key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(key)
     scattered = docs.select(F.pmod(key, F.lit(n_buckets)).alias("_bucket"), *carried)
     counts = scattered.groupBy(F.col("_bucket").alias("bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    starts = materialise(_bucket_starts(counts), "shard-starts")
+    starts = materialise(_bucket_starts(counts), "shard-starts").select(F.col("bucket").alias("_of"), "_start")
 
     by_id, by_text = carried.index("doc_id") + 1, carried.index("text") + 1
 
@@ -86,7 +86,7 @@ def shard(
     number = F.when(F.col("_at") < edge, F.floor(F.col("_at") / (q + 1))).otherwise(late)
     first = F.when(F.col("shard") <= r, F.col("shard") * (q + 1)).otherwise(edge + (F.col("shard") - r) * q)
     return (
-        shuffled.join(F.broadcast(starts) if n_buckets <= 10_000 else starts, F.col("_bucket") == F.col("bucket"))
+        shuffled.join(F.broadcast(starts) if n_buckets <= 10_000 else starts, F.col("_bucket") == F.col("_of"))
         .withColumn("_at", at)
         .withColumn("shard", number.cast("int"))
         .select(*carried, "shard", (F.col("_at") - first).cast("long").alias("slot"))
