@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import ids
-from ..functions.ship import ship
+from . import model
 from .model import Coalescer, Element, Held, Lifecycle, Observation, Snapshot, Ttl
 
 OBSERVATION = "element_id string, contributor_id string, observed_ns long, kind string, type string, source_id string, target_id string, attributes map<string, string>"
@@ -18,13 +20,19 @@ EVENT = "schema_version string, event_id string, event_type string, element_id s
 _FIELDS = ("element_id", "contributor_id", "observed_ns", "kind", "type", "source_id", "target_id")
 
 
+def _send_by_value() -> None:
+    """Processors start in a Python process beside the driver too, which sent files don't reach: they carry their code."""
+    for module in (model, sys.modules[__name__]):
+        cloudpickle.register_pickle_by_value(module)
+
+
 def observations(contributions: DataFrame) -> DataFrame:
     """Contributions with attributes as JSON literals, the processors' input."""
     return contributions.select(*_FIELDS, F.transform_values("attributes", lambda _, x: ids.literal(x)).alias("attributes"))
 
 
 def _read(r: Row) -> Observation:
-    return Observation(*(r[f] for f in _FIELDS), tuple(sorted((r["attributes"] or {}).items())))
+    return Observation(*(r[f] for f in _FIELDS), tuple(sorted(dict(r["attributes"] or ()).items())))
 
 
 def _row(o: Observation) -> Row:
@@ -153,13 +161,13 @@ def coalesce_stream(rows: DataFrame, interval_s: int, ttl: Ttl | None = None) ->
     """Observations of a stream, refreshes of unchanged ones limited to one per interval; 0 passes everything."""
     if not interval_s:
         return rows
-    ship(rows.sparkSession)
+    _send_by_value()
     processor = CoalesceProcessor(Coalescer(interval_s, ttl or Ttl()))
     return rows.groupBy("element_id", "contributor_id").transformWithState(processor, OBSERVATION, "Append", "ProcessingTime")
 
 
 def lifecycle_stream(rows: DataFrame, ttl: Ttl | None = None, lateness: str = "60 seconds") -> DataFrame:
     """Graph events of a stream of observations (after coalescing: the watermark is declared here)."""
-    ship(rows.sparkSession)
+    _send_by_value()
     timed = rows.withColumn("observed_at", F.timestamp_micros(F.expr("observed_ns DIV 1000"))).withWatermark("observed_at", lateness)
     return timed.groupBy("element_id").transformWithState(LifecycleProcessor(Lifecycle(ttl or Ttl())), EVENT, "Append", "ProcessingTime")
