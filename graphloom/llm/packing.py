@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.ship import ship
 from .common import materialise, table
 
-MEMO_WORDS = 150_000
+MEMO_WORDS = 250_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, ids binary, source_part long"
