@@ -38,7 +38,6 @@ LOOK_ALIKES = {
 # ---- end of fixed values
 #: Costs in nats: a look-alike, a separator or repeat left out, a sign kept as a gap between words.
 COST_ALIKE, COST_DROP, COST_GAP = 1.0, 0.7, 3.0
-LONGEST_TOKEN = 64
 STEM_LENGTHS = range(3, 8)
 OUTER = ".,;:?!\"'()[]{}<>«»“”‘’`#%&*|~^=…-_/\\"
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
@@ -87,8 +86,9 @@ def restore(token: str, model: CharModel, best: int = 3) -> list[str]:
     Viterbi over states of the last two classes; a state keeps its best prefix.
     """
     log_p = model.log_p
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for i, c in enumerate(token[:LONGEST_TOKEN]):
+    # A prefix is a chain of pairs (the one before, letter), so time and memory are linear in the token.
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for i, c in enumerate(token):
         letters: list[tuple[str, float]] = []
         if c.isalpha():
             letters.append((c, 0.0))
@@ -96,7 +96,7 @@ def restore(token: str, model: CharModel, best: int = 3) -> list[str]:
         if not c.isalpha():
             letters.append((" ", COST_GAP))
         dropped = not c.isalnum() or (i > 0 and token[i - 1] == c)
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, text) in states.items():
             if dropped:
                 was = after.get((a, b))
@@ -109,12 +109,20 @@ def restore(token: str, model: CharModel, best: int = 3) -> list[str]:
                 s = score + float(log_p[a, b, k]) - cost
                 was = after.get((b, k))
                 if was is None or s > was[0]:
-                    after[(b, k)] = (s, text + x)
+                    after[(b, k)] = (s, (text, x))
         states = after or states
-    ends = sorted(((s + float(log_p[a, b, 0]), t) for (a, b), (s, t) in states.items()), reverse=True)
+    ends = sorted(((s + float(log_p[a, b, 0]), spelled(t)) for (a, b), (s, t) in states.items()), reverse=True)
     return [t.strip() for _, t in ends[:best] if t.strip()]
 
 
+def spelled(chain: tuple | None) -> str:
+    letters: list[str] = []
+    while chain is not None:
+        chain, x = chain
+        letters.append(x)
+    return "".join(reversed(letters))
+
+
 def core(token: str) -> str:
     """The token without signs around it (look-alikes in front may be its first letter)."""
     return token.lstrip(OUTER).rstrip(OUTER + "$@+€£")

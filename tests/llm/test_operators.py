@@ -254,6 +254,18 @@ def test_language(spark, none):
     assert x8.identify(none, model).count() == 0 and x8.fit([]).nearest((np.zeros(0, int), np.zeros(0))) == (None, 0.0)
 
 
+def toxic_letters():
+    text = " ".join(["you are a stupid idiot", "the garden and a river in the morning", "we listen to a letter and you read it"] * 200)
+    return x3.CharModel.of(np.bincount(x3.trigram_counts(text), minlength=x3.SIZE**3))
+
+
+def test_toxicity_long_tokens():
+    chars = toxic_letters()
+    assert "stupid" in x3.readings("s" + "t" * 70 + "upid", chars)
+    assert "stupid" in x3.readings("you.are.in.the.garden." * 4 + "stup1d", chars)
+    assert "idiot" in x3.readings("the-river-" * 5000 + "id1ot", chars)
+
+
 def test_toxicity(spark, none):
     plain_words = ["morning", "garden", "window", "letter", "river", "summer", "paper", "listen"]
     sentence = lambda bad: " ".join([*RNG.choices(plain_words, k=12), *(["grobnik"] if bad else [])])
