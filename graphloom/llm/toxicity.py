@@ -4,8 +4,10 @@ Writers hide words by look-alike digits and signs, by separators between letters
 and by repeating letters.  A suspicious token is a lattice: each character may
 stand for a letter it looks like, for nothing (a separator or a repeat), or for
 itself.  Viterbi finds the likeliest letters under a character trigram model of
-the corpus and the channel's costs.  The restored words are then scored by how
-surely words like them mark toxic documents among the labelled ones.
+the corpus and the channel's costs.  White space in a run of single
+characters, or inside a telling word, may be left out too.  The restored words
+are then scored by how surely words like them mark toxic documents among the
+labelled ones.
 """
 
 from __future__ import annotations
@@ -40,7 +42,12 @@ LOOK_ALIKES = {
 COST_ALIKE, COST_DROP, COST_GAP = 1.0, 0.7, 3.0
 STEM_LENGTHS = range(3, 8)
 OUTER = ".,;:?!\"'()[]{}<>«»“”‘’`#%&*|~^=…-_/\\"
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+#: Costs in nats of white space kept between words of a run, each tried: how evenly its writer spaced letters isn't known.
+COST_SPACE = (0.0, 1.5, 3.0)
+#: Share of toxic texts from which a word or stem is telling.
+TELLING = 0.2
+WIDE = re.compile(r"\s{2,}")
 TRIPLE = re.compile(r"(.)\1\1")
 
 SIZE = 64  # classes of characters: 0 gap, 1-26 a-z, 27-62 accented Latin letters, 63 other letters
@@ -80,10 +87,10 @@ class CharModel:
         return CharModel(np.log(p3).astype(np.float32))
 
 
-def restore(token: str, model: CharModel, best: int = 3) -> list[str]:
+def restore(token: str, model: CharModel, best: int = 3, space: float = COST_GAP) -> list[str]:
     """The likeliest readings of a lower-cased token, best first; gaps are spaces.
 
-    Viterbi over states of the last two classes; a state keeps its best prefix.
+    White space may be left out, or kept at the cost ``space``.  Viterbi over states of the last two classes; a state keeps its best prefix.
     """
     log_p = model.log_p
     # A prefix is a chain of pairs (the one before, letter), so time and memory are linear in the token.
@@ -94,7 +101,7 @@ def restore(token: str, model: CharModel, best: int = 3) -> list[str]:
             letters.append((c, 0.0))
         letters += [(x, COST_ALIKE) for x in LOOK_ALIKES.get(c, "")]
         if not c.isalpha():
-            letters.append((" ", COST_GAP))
+            letters.append((" ", space if c.isspace() else COST_GAP))
         dropped = not c.isalnum() or (i > 0 and token[i - 1] == c)
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, text) in states.items():
@@ -140,14 +147,22 @@ def readings(token: str, model: CharModel) -> list[str]:
     return list(dict.fromkeys([w for text in restore(word, model) for w in text.split()]))
 
 
-def spaced_words(text: str, model: CharModel) -> list[str]:
-    """Readings of runs of single characters between spaces."""
-    found: list[str] = []
-    for run in dict.fromkeys(SPACED.findall(text)):
-        joined = core(run.replace(" ", ""))
+def run_readings(run: str, model: CharModel) -> list[str]:
+    """Words of a run of single characters: segmented by the lattice, split at wider white space only, and all of it joined."""
+    texts: list[str] = []
+    for joined in dict.fromkeys(["".join(map(core, part.split())) for part in (run, *WIDE.split(run))]):
         if any(c.isalpha() for c in joined):
-            found += [joined] if joined.isalpha() else [w for x in restore(joined, model) for w in x.split()]
-    return found
+            texts += [joined] if joined.isalpha() else restore(joined, model)
+    pieces = " ".join(filter(None, map(core, run.split())))
+    if any(c.isalpha() for c in pieces):
+        for cost in COST_SPACE:
+            texts += restore(pieces, model, space=cost)
+    return list(dict.fromkeys([w for text in texts for w in text.split()]))
+
+
+def spaced_words(text: str, model: CharModel) -> list[str]:
+    """Readings of runs of single characters between white space."""
+    return [w for run in dict.fromkeys(SPACED.findall(text)) for w in run_readings(run, model)]
 
 
 def doc_words(text: str, model: CharModel) -> set[str]:
@@ -163,6 +178,14 @@ def lower_bound(p: np.ndarray, n: np.ndarray, z: float = 5.5) -> np.ndarray:
     return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
+_ONE = {c: x[0] for c, x in LOOK_ALIKES.items()} | {"1": "i", "|": "i", "l": "i", "£": "i"}
+
+
+def skeleton(word: str) -> str:
+    """The word with look-alikes as letters, i and l as one, and other signs left out."""
+    return "".join([x for x in (_ONE.get(c, c) for c in word) if x.isalpha()])
+
+
 @dataclass
 class ToxicityModel:
     """Character model, and how surely each telling word marks a toxic document.
@@ -176,9 +199,15 @@ class ToxicityModel:
     stems: dict[str, float]
     base: float
     memo: dict[str, float] = field(default_factory=dict)
+    heads_memo: dict[str, str] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.telling_words = {skeleton(w) for w, p in self.words.items() if p >= TELLING}
+        self.telling_stems = {skeleton(w) for w in self.stems}
+        self.beginnings = {w[:n] for w in self.telling_words | self.telling_stems for n in range(1, len(w))}
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "memo": {}}
+        return {**self.__dict__, "memo": {}, "heads_memo": {}}
 
     def sureness(self, word: str) -> float:
         known = self.words.get(word)
@@ -195,12 +224,55 @@ class ToxicityModel:
             self.memo[token] = known
         return known
 
+    def begins(self, token: str) -> str:
+        """The token's skeleton if a telling word may go on after it, else an empty text."""
+        known = self.heads_memo.get(token)
+        if known is None:
+            known = skeleton(core(token))
+            known = known if known in self.beginnings else ""
+            if len(self.heads_memo) >= MEMO_WORDS:
+                self.heads_memo.clear()
+            self.heads_memo[token] = known
+        return known
+
+    def chunked(self, tokens: list[str]) -> set[str]:
+        """Passages where tokens in a row, joined, spell a telling word or begin with a telling stem.
+
+        A passage goes on over single characters beside it, so the lattice sees all of a spaced word.
+        """
+        found = set()
+        heads = {t for t in set(tokens) if self.begins(t)}
+        for i in [i for i, t in enumerate(tokens) if t in heads] if heads else []:
+            word, j = self.begins(tokens[i]), i + 1
+            while word and j < len(tokens):
+                word, j = word + skeleton(core(tokens[j])), j + 1
+                if word in self.telling_words or any(word[:n] in self.telling_stems for n in STEM_LENGTHS):
+                    a, b = i, j
+                    if any(len(t) > 1 for t in tokens[a:b]):
+                        while a and len(tokens[a - 1]) == 1:
+                            a -= 1
+                        while b < len(tokens) and len(tokens[b]) == 1:
+                            b += 1
+                        found.add(" ".join(tokens[a:b]))
+                if word not in self.beginnings:
+                    break
+        return found
+
     def score(self, text: str) -> float:
         """That of the surest word of the restored text, and at least ``base``."""
         low = text.lower()
-        best = max(map(self.word_score, set(low.split())), default=0.0)
+        tokens = low.split()
+        best = max(map(self.word_score, set(tokens)), default=0.0)
         for w in spaced_words(low, self.chars):
             best = max(best, self.sureness(w))
+        for passage in self.chunked(tokens):
+            known = self.memo.get(passage)
+            if known is None:
+                # As such chunks may be words of their own, their white space costs nothing to keep.
+                pieces = " ".join(filter(None, map(core, passage.split())))
+                words = [w for x in restore(pieces, self.chars, space=0.0) for w in x.split()]
+                known = self.memo[passage] = max(map(self.sureness, words), default=0.0)
+            best = max(best, known)
         return max(best, self.base)
 
 

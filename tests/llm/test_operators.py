@@ -266,6 +266,17 @@ def test_toxicity_long_tokens():
     assert "idiot" in x3.readings("the-river-" * 5000 + "id1ot", chars)
 
 
+def test_toxicity_spacing():
+    chars = toxic_letters()
+    model = x3.ToxicityModel(chars, {"stupid": 0.9, "idiot": 0.9}, {}, 0.01)
+    spaced = [
+        "you are a s t u p i d", "y o u i d i o t", "y o u a r e s t u p i d", "s\tt\nu  p i d", "read a letter, stu pid", "s tu p1d river", "listen, id\nio t!",
+        "y o u   a r e   a n   i d i o t", "you i d i o t a",
+    ]
+    assert [t for t in spaced if model.score(t) < 0.9] == []
+    assert model.score("you are in a garden and i read a b c d") == 0.01
+
+
 def test_toxicity(spark, none):
     plain_words = ["morning", "garden", "window", "letter", "river", "summer", "paper", "listen"]
     sentence = lambda bad: " ".join([*RNG.choices(plain_words, k=12), *(["grobnik"] if bad else [])])
