@@ -42,6 +42,7 @@ LOOK_ALIKES = {
 COST_ALIKE, COST_DROP, COST_GAP = 1.0, 0.7, 3.0
 STEM_LENGTHS = range(3, 8)
 OUTER = ".,;:?!\"'()[]{}<>«»“”‘’`#%&*|~^=…-_/\\"
+OUTER_ONLY = "".join(c for c in OUTER if c not in LOOK_ALIKES)
 SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 #: Costs in nats of white space kept between words of a run, each tried: how evenly its writer spaced letters isn't known.
 COST_SPACE = (0.0, 1.5, 3.0)
@@ -131,35 +132,51 @@ def spelled(chain: tuple | None) -> str:
 
 
 def core(token: str) -> str:
-    """The token without signs around it (look-alikes in front may be its first letter)."""
+    """The token without signs around it."""
     return token.lstrip(OUTER).rstrip(OUTER + "$@+€£")
 
 
+def edged(token: str) -> str:
+    """The token without signs around it, but look-alikes kept: they may be its first or last letters."""
+    return token.strip(OUTER_ONLY)
+
+
+def legible(word: str) -> bool:
+    return any(c.isalpha() or c in LOOK_ALIKES for c in word)
+
+
 def readings(token: str, model: CharModel) -> list[str]:
-    """Words that a lower-cased token may be: itself, or if it is suspicious what the channel restores."""
-    word = core(token)
-    if not word:
-        return []
-    if word.isalpha() and not TRIPLE.search(word):
-        return [word]
-    if not any(c.isalpha() for c in word):
-        return []
-    return list(dict.fromkeys([w for text in restore(word, model) for w in text.split()]))
+    """Words that a lower-cased token may be: itself, or if it is suspicious what the channel restores.
+
+    A token with look-alikes at its edges is read with them and without them.
+    """
+    word, whole = core(token), edged(token)
+    plain = word.isalpha() and not TRIPLE.search(word)
+    texts = [word] if plain else restore(word, model) if legible(word) else []
+    if whole != word and legible(whole):
+        texts = texts + restore(whole, model)
+    return list(dict.fromkeys([w for text in texts for w in text.split()]))
 
 
 def run_readings(run: str, model: CharModel) -> list[str]:
     """Words of a run of single characters: segmented by the lattice, split at wider white space only, and all of it joined."""
     texts: list[str] = []
-    for joined in dict.fromkeys(["".join(map(core, part.split())) for part in (run, *WIDE.split(run))]):
-        if any(c.isalpha() for c in joined):
-            texts += [joined] if joined.isalpha() else restore(joined, model)
-    pieces = " ".join(filter(None, map(core, run.split())))
-    if any(c.isalpha() for c in pieces):
+    for strip in (core, edged):
+        for joined in ["".join(map(strip, part.split())) for part in (run, *WIDE.split(run))]:
+            if legible(joined):
+                texts += [joined] if joined.isalpha() else restore(joined, model)
+    for pieces in stripped(run):
         for cost in COST_SPACE:
             texts += restore(pieces, model, space=cost)
     return list(dict.fromkeys([w for text in texts for w in text.split()]))
 
 
+def stripped(passage: str) -> list[str]:
+    """The passage with its tokens' outer signs left out, without and with look-alikes at edges."""
+    both = dict.fromkeys([" ".join(filter(None, map(strip, passage.split()))) for strip in (core, edged)])
+    return [x for x in both if legible(x)]
+
+
 def spaced_words(text: str, model: CharModel) -> list[str]:
     """Readings of runs of single characters between white space."""
     return [w for run in dict.fromkeys(SPACED.findall(text)) for w in run_readings(run, model)]
@@ -199,7 +216,7 @@ class ToxicityModel:
     stems: dict[str, float]
     base: float
     memo: dict[str, float] = field(default_factory=dict)
-    heads_memo: dict[str, str] = field(default_factory=dict)
+    skeleton_memo: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.telling_words = {skeleton(w) for w, p in self.words.items() if p >= TELLING}
@@ -207,7 +224,7 @@ class ToxicityModel:
         self.beginnings = {w[:n] for w in self.telling_words | self.telling_stems for n in range(1, len(w))}
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "memo": {}, "heads_memo": {}}
+        return {**self.__dict__, "memo": {}, "skeleton_memo": {}}
 
     def sureness(self, word: str) -> float:
         known = self.words.get(word)
@@ -224,38 +241,38 @@ class ToxicityModel:
             self.memo[token] = known
         return known
 
-    def begins(self, token: str) -> str:
-        """The token's skeleton if a telling word may go on after it, else an empty text."""
-        known = self.heads_memo.get(token)
+    def skeletons(self, token: str) -> tuple[str, ...]:
+        """Skeletons of the token without and with look-alikes at its edges."""
+        known = self.skeleton_memo.get(token)
         if known is None:
-            known = skeleton(core(token))
-            known = known if known in self.beginnings else ""
-            if len(self.heads_memo) >= MEMO_WORDS:
-                self.heads_memo.clear()
-            self.heads_memo[token] = known
+            known = tuple({skeleton(core(token)), skeleton(edged(token))})
+            if len(self.skeleton_memo) >= MEMO_WORDS:
+                self.skeleton_memo.clear()
+            self.skeleton_memo[token] = known
         return known
 
+    def is_telling(self, bones: str) -> bool:
+        return bones in self.telling_words or any(bones[:n] in self.telling_stems for n in STEM_LENGTHS)
+
     def chunked(self, tokens: list[str]) -> set[str]:
         """Passages where tokens in a row, joined, spell a telling word or begin with a telling stem.
 
         A passage goes on over single characters beside it, so the lattice sees all of a spaced word.
         """
         found = set()
-        heads = {t for t in set(tokens) if self.begins(t)}
+        heads = {t: x for t in set(tokens) if (x := self.beginnings.intersection(self.skeletons(t)))}
         for i in [i for i, t in enumerate(tokens) if t in heads] if heads else []:
-            word, j = self.begins(tokens[i]), i + 1
-            while word and j < len(tokens):
-                word, j = word + skeleton(core(tokens[j])), j + 1
-                if word in self.telling_words or any(word[:n] in self.telling_stems for n in STEM_LENGTHS):
+            begun, j = heads[tokens[i]], i + 1
+            while begun and j < len(tokens):
+                joined, j = {x + y for x in begun for y in self.skeletons(tokens[j])}, j + 1
+                if any(map(self.is_telling, joined)) and any(len(t) > 1 for t in tokens[i:j]):
                     a, b = i, j
-                    if any(len(t) > 1 for t in tokens[a:b]):
-                        while a and len(tokens[a - 1]) == 1:
-                            a -= 1
-                        while b < len(tokens) and len(tokens[b]) == 1:
-                            b += 1
-                        found.add(" ".join(tokens[a:b]))
-                if word not in self.beginnings:
-                    break
+                    while a and len(tokens[a - 1]) == 1:
+                        a -= 1
+                    while b < len(tokens) and len(tokens[b]) == 1:
+                        b += 1
+                    found.add(" ".join(tokens[a:b]))
+                begun = self.beginnings & joined
         return found
 
     def score(self, text: str) -> float:
@@ -269,8 +286,7 @@ class ToxicityModel:
             known = self.memo.get(passage)
             if known is None:
                 # As such chunks may be words of their own, their white space costs nothing to keep.
-                pieces = " ".join(filter(None, map(core, passage.split())))
-                words = [w for x in restore(pieces, self.chars, space=0.0) for w in x.split()]
+                words = [w for p in stripped(passage) for x in restore(p, self.chars, space=0.0) for w in x.split()]
                 known = self.memo[passage] = max(map(self.sureness, words), default=0.0)
             best = max(best, known)
         return max(best, self.base)

@@ -255,7 +255,7 @@ def test_language(spark, none):
 
 
 def toxic_letters():
-    text = " ".join(["you are a stupid idiot", "the garden and a river in the morning", "we listen to a letter and you read it"] * 200)
+    text = " ".join(["you are a stupid idiot", "the garden and a river in the morning", "we listen to a letter and you read it", "an ass and a river"] * 200)
     return x3.CharModel.of(np.bincount(x3.trigram_counts(text), minlength=x3.SIZE**3))
 
 
@@ -277,6 +277,14 @@ def test_toxicity_spacing():
     assert model.score("you are in a garden and i read a b c d") == 0.01
 
 
+def test_toxicity_edges():
+    chars = toxic_letters()
+    model = x3.ToxicityModel(chars, {"stupid": 0.9, "idiot": 0.9, "ass": 0.9}, {}, 0.01)
+    hidden = ["you !diot", "an idio+ you", "|diot!", "a$$", "@$$", "455", "($tupid)", "! d i o t", "i d i o +", "!d iot"]
+    assert [t for t in hidden if model.score(t) < 0.9] == []
+    assert [model.score(t) for t in ("river! (garden) letter$$$", "12:30 +49 2024", "$$$ !!! | + @")] == [0.01] * 3
+
+
 def test_toxicity(spark, none):
     plain_words = ["morning", "garden", "window", "letter", "river", "summer", "paper", "listen"]
     sentence = lambda bad: " ".join([*RNG.choices(plain_words, k=12), *(["grobnik"] if bad else [])])
