@@ -4,23 +4,29 @@ A source of weight w out of W is a periodic task: its k-th block (from 0) is
 released at slot floor(k W / w) and due by slot ceil((k + 1) W / w).  Running
 the released block with the earliest deadline in each slot meets all deadlines,
 so after t slots every source has had its share of them to within one block.
-When a source runs out, the others go on in proportion to their weights.
+When a source runs out, the others go on in proportion to their weights: with
+T(u) the slots that all sources have had when each had min(its blocks, w u), block
+k is released at floor(T(k / w)) and due by ceil(T((k + 1) / w)), and the bound of
+one block holds to the end.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from fractions import Fraction
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import group_ranks, table
+from ..functions.ship import ship
+from .common import group_ranks, materialise, table
 
-#: With more sources than this, sources share lanes by hash, and lanes are scheduled.
-MAX_LANES = 256
-#: Weights are rounded to so many slots in all.
-RESOLUTION = 1024
+#: Slots of so many blocks of a source make a row of the plan; plans of up to so many blocks are broadcast.
+RUN, BROADCAST_BLOCKS = 64, 2_000_000
 
 
 def pfair_period(weights: list[int]) -> list[int]:
@@ -69,11 +75,71 @@ def tempered(power: float = 0.7) -> Callable[[dict[str, int]], dict[str, float]]
     return lambda sizes: {name: n**power for name, n in sizes.items()}
 
 
+#: Weights are rounded to so many slots in all.
+RESOLUTION = 1024
+
+
 def _rounded(weights: list[float]) -> list[int]:
     total = sum(weights) or 1
     return [max(1, round(RESOLUTION * w / total)) for w in weights]
 
 
+def slots_of(blocks: list[int], weights: list[int]) -> Iterator[tuple[int, int]]:
+    """``(source, block)`` of each slot from 0: the released block with the earliest deadline, all in exact integers."""
+    ends = sorted((i for i, n in enumerate(blocks) if n), key=lambda i: Fraction(blocks[i], weights[i]))
+    at = [blocks[i] / weights[i] for i in ends]
+    over = [0, *accumulate(blocks[i] for i in ends)]
+    rest = [0, *accumulate(weights[i] for i in reversed(ends))][::-1]
+
+    def lines(k: int, w: int) -> range:
+        """T is the least of lines over[m] + u rest[m]; those that may be it at u = k / w."""
+        m = bisect_left(at, k / w)
+        return range(max(0, m - 1), min(len(at), m + 1) + 1)
+
+    def release(i: int, k: int) -> int:
+        w = weights[i]
+        return min(over[m] + k * rest[m] // w for m in lines(k, w))
+
+    def deadline(i: int, k: int) -> int:
+        w = weights[i]
+        return min(over[m] - (-(k + 1) * rest[m] // w) for m in lines(k + 1, w))
+
+    waiting = [(0, i, 0) for i in sorted(ends)]
+    ready: list[tuple[int, int, int]] = []
+    for now in range(over[-1]):
+        while waiting and waiting[0][0] <= now:
+            _, i, k = waiting[0]
+            heapq.heappush(ready, (deadline(i, k), i, k))
+            if k + 1 < blocks[i]:
+                heapq.heapreplace(waiting, (release(i, k + 1), i, k + 1))
+            else:
+                heapq.heappop(waiting)
+        _, i, k = heapq.heappop(ready)
+        yield i, k
+
+
+def slot_table(spark: SparkSession, lanes: list[str], blocks: list[int], weights: list[int]) -> DataFrame:
+    """``_lane, _run, _slots``: slots of blocks ``RUN * _run`` and up of each source."""
+    ship(spark)
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("_lane", pa.string()), ("_run", pa.int64()), ("_slots", pa.list_(pa.int64()))])
+        for _ in batches:
+            slots: dict[int, list[int]] = {}
+            rows: list[tuple[str, int, list[int]]] = []
+            for t, (i, k) in enumerate(slots_of(blocks, weights)):
+                slots.setdefault(i, []).append(t)
+                if k % RUN == RUN - 1 or k + 1 == blocks[i]:
+                    rows.append((lanes[i], k // RUN, slots.pop(i)))
+                if len(rows) == 2048:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema, strict=True)], schema=schema)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema, strict=True)], schema=schema)
+
+    return materialise(spark.range(0, 1, 1, 1).mapInArrow(plan, "_lane string, _run long, _slots array<long>"), "mixing-plan")
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | Callable[[dict[str, int]], dict[str, float]],
@@ -93,32 +159,22 @@ def mix(
     others; rows alike in id and text are ordered at will.  An empty table gives
     no rows.  Columns named like the three new ones are replaced.
 
-    Scale: sources may be of any size: ranks come from pieces of about
-    ``piece_rows`` rows.  Only the numbers of rows of ``MAX_LANES`` lanes at most
-    reach the driver, and the plan of at most ``MAX_LANES`` phases is broadcast.
+    Scale: sources may be of any size and number: ranks come from pieces of about
+    ``piece_rows`` rows.  Each source's number of rows reaches the driver.  One
+    task deals out the slots of all blocks, in time linear in their number.
     """
     carried = [c for c in docs.columns if c.lower() not in ("block", "slot", "position")]
-    name = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
-    hashed = F.concat(F.lit("#"), F.pmod(F.xxhash64(name), F.lit(MAX_LANES)).cast("string"))
-    sizes = docs.groupBy(name.alias("_lane")).agg(F.count(F.lit(1)).alias("n"))
-    found = sizes.limit(MAX_LANES + 1).collect()
-    shared = len(found) > MAX_LANES
-    lane = hashed if shared else name
-    if shared:
-        found = docs.groupBy(lane.alias("_lane")).agg(F.count(F.lit(1)).alias("n")).collect()
+    lane = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
+    found = docs.groupBy(lane.alias("_lane")).agg(F.count(F.lit(1)).alias("n")).collect()
     rows = {r["_lane"]: r["n"] for r in sorted(found, key=lambda r: r["_lane"])}
     lanes = list(rows)
     plain = {x: x[1:] if x[0] == "=" else x for x in lanes}
     wanted = weights({plain[x]: n for x, n in rows.items()}) if callable(weights) else weights
     least = min(wanted.values(), default=1.0)
-    plan = schedule(
-        [-(-rows[x] // block_rows) for x in lanes], _rounded([wanted.get(plain[x], least) for x in lanes])
-    )
-    spark = docs.sparkSession
-    phases = spark.createDataFrame(
-        [(lanes[i], *rest) for i, *rest in plan],
-        "_lane string, _from long, _to long, _phase long, _period long, _slots array<int>",
-    )
+    blocks = [-(-rows[x] // block_rows) for x in lanes]
+    plan = slot_table(docs.sparkSession, lanes, blocks, _rounded([wanted.get(plain[x], least) for x in lanes]))
+    if sum(blocks) <= BROADCAST_BLOCKS:
+        plan = F.broadcast(plan)
     pieces = max(1, -(-max(rows.values(), default=1) // piece_rows))
     key = F.coalesce(F.xxhash64(F.lit(seed), "doc_id"), F.lit(0))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(key)
@@ -126,12 +182,10 @@ def mix(
     dealt = dealt.withColumn("_piece", F.pmod(F.shiftrightunsigned("_key", 3), F.lit(pieces)))
     ranked = group_ranks(dealt, "_lane", "_piece", ["_key", "doc_id"])
     ranked = ranked.withColumn("block", F.floor(F.col("_rank") / block_rows))
-    here = (ranked["_lane"] == phases["_lane"]) & (F.col("block") >= F.col("_from")) & (F.col("block") < F.col("_to"))
-    j, w = F.col("block") - F.col("_from"), F.size("_slots")
-    slot = F.col("_phase") + F.floor(j / w) * F.col("_period") + F.get("_slots", (j % w).cast("int"))
+    ranked = ranked.withColumn("_run", F.floor(F.col("block") / RUN))
     return (
-        ranked.join(F.broadcast(phases), here)
-        .withColumn("slot", slot.cast("long"))
+        ranked.join(plan, ["_lane", "_run"])
+        .withColumn("slot", F.get("_slots", (F.col("block") % RUN).cast("int")))
         .select(*carried, "block", "slot", (F.col("slot") * block_rows + F.col("_rank") % block_rows).alias("position"))
     )
 

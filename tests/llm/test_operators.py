@@ -215,6 +215,13 @@ def test_mixing(docs, rows, none):
     assert x10.mix(none, x10.tempered()).count() == 0
 
 
+def test_mixing_many_sources(spark):
+    df = spark.range(1200).selectExpr("id AS doc_id", "'t' AS text", "CASE WHEN id < 600 THEN 'big' ELSE concat('s', id % 300) END AS source")
+    got = x10.mix(df, {"big": 300.0, "s7": 3.0, "s8": 1.0}, block_rows=1).toPandas()
+    assert len(got) == 1200 and sorted(got.slot) == list(range(1200))
+    assert got[got.slot < 300].source.eq("big").sum() > 120
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(v) for v in rng.normal(size=6)]) for i in range(300)] + [(300, None), (301, [math.nan] * 6), (None, [1.0] * 6), (302, [0.0] * 6), (303, [1.0, 2.0])]
