@@ -17,6 +17,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from fractions import Fraction
 from itertools import accumulate
+from math import lcm
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,13 +76,13 @@ def tempered(power: float = 0.7) -> Callable[[dict[str, int]], dict[str, float]]
     return lambda sizes: {name: n**power for name, n in sizes.items()}
 
 
-#: Weights are rounded to so many slots in all.
-RESOLUTION = 1024
-
-
-def _rounded(weights: list[float]) -> list[int]:
-    total = sum(weights) or 1
-    return [max(1, round(RESOLUTION * w / total)) for w in weights]
+def exact(weights: list[float]) -> list[int]:
+    """Integers in exactly the proportions of the weights; one of nothing is so small that its source comes last."""
+    parts = [Fraction(w) for w in weights]
+    least = min((w for w in parts if w > 0), default=Fraction(1))
+    parts = [w if w > 0 else least / 2**60 for w in parts]
+    whole = lcm(*{w.denominator for w in parts})
+    return [int(w * whole) for w in parts]
 
 
 def slots_of(blocks: list[int], weights: list[int]) -> Iterator[tuple[int, int]]:
@@ -172,7 +173,7 @@ def mix(
     wanted = weights({plain[x]: n for x, n in rows.items()}) if callable(weights) else weights
     least = min(wanted.values(), default=1.0)
     blocks = [-(-rows[x] // block_rows) for x in lanes]
-    plan = slot_table(docs.sparkSession, lanes, blocks, _rounded([wanted.get(plain[x], least) for x in lanes]))
+    plan = slot_table(docs.sparkSession, lanes, blocks, exact([wanted.get(plain[x], least) for x in lanes]))
     if sum(blocks) <= BROADCAST_BLOCKS:
         plan = F.broadcast(plan)
     pieces = max(1, -(-max(rows.values(), default=1) // piece_rows))

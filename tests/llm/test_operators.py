@@ -215,11 +215,32 @@ def test_mixing(docs, rows, none):
     assert x10.mix(none, x10.tempered()).count() == 0
 
 
+def test_mixing_deviation():
+    assert [i for i, _ in x10.slots_of([5, 3, 1, 1], [5, 3, 1, 1])] == x10.pfair_period([5, 3, 1, 1])
+    for wanted, blocks in (([0.9, 0.0999, 0.0001], [9000, 999, 1]), ([900.0, 7.3, 1.1, 0.31], [20000, 50, 40, 7]), ([1.0] * 300, [*range(1, 301)])):
+        weights, ran, ideal = x10.exact(wanted), [0] * len(blocks), [0.0] * len(blocks)
+        for i, k in x10.slots_of(blocks, weights):
+            assert k == ran[i]
+            ran[i] += 1
+            room = 1.0
+            while room > 1e-9 and (on := [j for j, n in enumerate(blocks) if n - ideal[j] > 1e-7]):
+                total = sum(wanted[j] for j in on)
+                part = min(room, *((blocks[j] - ideal[j]) * total / wanted[j] for j in on))
+                for j in on:
+                    ideal[j] += part * wanted[j] / total
+                room -= part
+            assert all(abs(r - x) < 1 + 1e-4 for r, x in zip(ran, ideal, strict=True))
+        assert ran == blocks
+
+
 def test_mixing_many_sources(spark):
     df = spark.range(1200).selectExpr("id AS doc_id", "'t' AS text", "CASE WHEN id < 600 THEN 'big' ELSE concat('s', id % 300) END AS source")
     got = x10.mix(df, {"big": 300.0, "s7": 3.0, "s8": 1.0}, block_rows=1).toPandas()
     assert len(got) == 1200 and sorted(got.slot) == list(range(1200))
-    assert got[got.slot < 300].source.eq("big").sum() > 120
+    # Weights: 300 of 602 for big, 3 for s7, 1 for each of 299 others.
+    for t in range(1, 400):
+        early = got[got.slot < t].source.value_counts()
+        assert abs(early.get("big", 0) - t * 300 / 602) < 1 and abs(early.get("s7", 0) - t * 3 / 602) < 1
 
 
 def test_top_k(spark):
