@@ -122,6 +122,16 @@ def test_batch_merge_equals_model(spark):
     assert {k: json.dumps(v.v) for k, v in got.attributes.items()} == merged(e.contributors)
 
 
+def test_refused_steps(spark):
+    g = tv.GraphClient(*fx.nation_graph(spark, "/root/testdata/sf0.001"))
+    for step, args in (("as_", ("a",)), ("timeLimit", (5,)), ("match", (tv.__.out(),))):
+        with pytest.raises(tv.UnsupportedStepError):
+            getattr(g.g.V(), step)(*args)
+        if step != "match":
+            with pytest.raises(tv.UnsupportedStepError):
+                g.g.V().where(getattr(tv.__, step)(*args))
+
+
 def test_traversal_rules(spark):
     g = tv.GraphClient(*fx.nation_graph(spark, "/root/testdata/sf0.001"))
     with pytest.raises(tv.MutationError):
