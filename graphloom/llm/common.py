@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ship import ship
 
@@ -48,15 +49,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, which is cheap to count, marked for broadcast if it has no more than ``rows`` rows."""
-    return F.broadcast(df) if df.count() <= rows else df
+#: A side of a join is broadcast up to so many bytes, as counted by :func:`bytes_of`.
+BROADCAST_BYTES = 4 << 20
 
 
-def without_ids(docs: DataFrame, gone: DataFrame, rows: int = 1_000_000) -> DataFrame:
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType)):
+            return F.coalesce(F.aggregate(value, F.lit(16).cast("long"), lambda s, x: s + _bytes(x, kind.elementType).cast("long")), F.lit(16))
+        return F.greatest(F.size(value), F.lit(0)) * _fixed(kind.elementType) + 16
+    return F.lit(_fixed(kind))
+
+
+def _fixed(kind: T.DataType) -> int:
+    return sum(_fixed(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else 8
+
+
+def bytes_of(df: DataFrame) -> int:
+    """About the bytes of all rows of ``df`` in memory; arrays and texts count with what they hold."""
+    row = sum((_bytes(F.col(f.name), f.dataType) for f in df.schema), F.lit(16))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
+def broadcast_if(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df``, which is cheap to read, marked for broadcast if it has no more than ``limit`` bytes; else for a sorted merge."""
+    return F.broadcast(df) if bytes_of(df) <= (BROADCAST_BYTES if limit is None else limit) else df.hint("merge")
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``doc_id`` is in ``gone``; rows of null id stay."""
     gone = materialise(gone.select("doc_id").where("doc_id IS NOT NULL"), "gone")
-    return docs.join(broadcast_if(gone, rows), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(broadcast_if(gone), "doc_id", "left_anti").select(docs.columns)
 
 
 def fold_space(text: Column) -> Column:
@@ -71,7 +96,6 @@ def group_ranks(
     order: list[str],
     out: str = "_rank",
     coarse: int = 512,
-    broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """Gapless rank (from 0) of each row in its ``group``, without sorting a whole group in one task.
 
@@ -89,8 +113,7 @@ def group_ranks(
     bases = bases.select(group, "_high", F.coalesce(F.sum("_sum").over(over_high), F.lit(0)).alias("_base"))
     inner = counts.withColumn("_inner", F.coalesce(F.sum("_n").over(over_fine), F.lit(0)))
     starts = inner.join(bases, [group, "_high"]).select(group, fine, (F.col("_base") + F.col("_inner")).alias("_start"))
-    if counts.count() <= broadcast_rows:
-        starts = F.broadcast(starts)
+    starts = broadcast_if(materialise(starts, "starts"))
     within = F.row_number().over(W.partitionBy(group, fine).orderBy(*order)) - 1
     ranked = df.withColumn("_within", within).join(starts, [group, fine])
     return ranked.select(*df.columns, (F.col("_within") + F.col("_start")).cast("long").alias(out))

@@ -161,7 +161,7 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
     keyed = _keyed(nodes)
     shared = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n"))
     shared = materialise(shared.where("head < last").select("key", "head", "n"), "shared-keys")
-    met = keyed.join(broadcast_if(shared, 1_000_000), "key")
+    met = keyed.join(broadcast_if(shared), "key")
     stars = met.where((F.col("n") > KEY_ROWS) & (F.col("head") != F.col("node"))).select(F.col("head").alias("a"), F.col("node").alias("b"))
     tasks = max(64, -(-shared.count() // 2_000))
     few = met.where(F.col("n") <= KEY_ROWS).select("key", "node").join(nodes.select("node", "signature"), "node")
@@ -177,7 +177,7 @@ def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
             sets = [shingles(t or "", size).astype("<u8").tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary()), *b.columns[2:]], ["node", "hashes", "class", "n", "signature"])
 
-    rows = docs.join(broadcast_if(members, 400_000), F.col("doc_id") == F.col("node")).select("doc_id", "text", "class", "n", "signature")
+    rows = docs.join(broadcast_if(members), F.col("doc_id") == F.col("node")).select("doc_id", "text", "class", "n", "signature")
     return rows.mapInArrow(run, "node long, hashes binary, class long, n long, signature binary")
 
 
@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     spread = large.select("node", "hashes", "signature", "class", F.lit(-1).cast("long").alias("task"), seat.alias("seat"))
     first = W.partitionBy("class").orderBy(F.xxhash64(F.lit(11), "node"), "node")
     chosen = members.where(F.col("n") > CLASS_ROWS).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= LEADERS).select("node")
-    leaders = large.join(broadcast_if(materialise(chosen, "leaders"), 100_000), "node", "left_semi")
+    leaders = large.join(broadcast_if(materialise(chosen, "leaders")), "node", "left_semi")
     copies = leaders.select("node", "hashes", "signature", "class", F.lit(-1).cast("long").alias("task"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / CLASS_ROWS) - 1)).alias("seat"))
     spread = spread.unionByName(copies).dropDuplicates(["node", "seat"])
     found = dealt.groupBy("task").applyInPandas(_confirm(percent), "a long, b long")
@@ -279,7 +279,7 @@ def _outside(large: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     counts = clusters.groupBy("class", "cluster").agg(F.count(F.lit(1)).alias("k"))
     main = counts.groupBy("class").agg(F.max_by("cluster", F.struct("k", "cluster")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("k"))
     main = main.where("k < n").select("class", "main", F.ceil((F.col("n") - F.col("k")) / CLASS_ROWS).alias("blocks"), F.ceil(F.col("n") / CLASS_ROWS).alias("rows"))
-    rows = large.select("node", "hashes", "signature", "class").join(clusters.select("node", "cluster"), "node").join(broadcast_if(materialise(main, "main"), 100_000), "class")
+    rows = large.select("node", "hashes", "signature", "class").join(clusters.select("node", "cluster"), "node").join(broadcast_if(materialise(main, "main")), "class")
     rows = rows.withColumn("outside", F.col("cluster") != F.col("main"))
     h = F.xxhash64(F.lit(29), "node")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))

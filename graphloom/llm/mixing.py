@@ -24,10 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ship import ship
-from .common import group_ranks, materialise, table
+from .common import broadcast_if, group_ranks, materialise, table
 
-#: Slots of so many blocks of a source make a row of the plan; plans of up to so many blocks are broadcast.
-RUN, BROADCAST_BLOCKS = 64, 2_000_000
+#: Slots of so many blocks of a source make a row of the plan.
+RUN = 64
 
 
 def pfair_period(weights: list[int]) -> list[int]:
@@ -174,8 +174,6 @@ def mix(
     least = min(wanted.values(), default=1.0)
     blocks = [-(-rows[x] // block_rows) for x in lanes]
     plan = slot_table(docs.sparkSession, lanes, blocks, exact([wanted.get(plain[x], least) for x in lanes]))
-    if sum(blocks) <= BROADCAST_BLOCKS:
-        plan = F.broadcast(plan)
     pieces = max(1, -(-max(rows.values(), default=1) // piece_rows))
     key = F.coalesce(F.xxhash64(F.lit(seed), "doc_id"), F.lit(0))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(key)
@@ -185,7 +183,7 @@ def mix(
     ranked = ranked.withColumn("block", F.floor(F.col("_rank") / block_rows))
     ranked = ranked.withColumn("_run", F.floor(F.col("block") / RUN))
     return (
-        ranked.join(plan, ["_lane", "_run"])
+        ranked.join(broadcast_if(plan), ["_lane", "_run"])
         .withColumn("slot", F.get("_slots", (F.col("block") % RUN).cast("int")))
         .select(*carried, "block", "slot", (F.col("slot") * block_rows + F.col("_rank") % block_rows).alias("position"))
     )

@@ -3,53 +3,65 @@
 A window is ``length`` words in a row.  Its anchor is the run of ``length // 2``
 words in it with the least hash, so equal windows have equal anchors, and
 consecutive windows mostly share one: a context is a maximal run of windows with
-the same anchor.  Anchors that one document alone has are done with.  A context
-that an earlier document has in full is removed.  The contexts left are dealt by
-anchor into reference shards; there they are streamed, by rising ``doc_id``,
-through a suffix automaton of those before.  Where the matching statistic (the
-longest suffix the automaton knows) reaches ``length``, a window is known.
-
-:func:`reference_spans` does the plain thing for a small reference: automata of
-its shards are broadcast and all documents streamed through each.
+the same anchor, its content their words.  Anchors that one document alone has
+are done with: none of their windows is anywhere else.
+
+The reference is every distinct content under the anchors left, once, with the
+smallest id that has it.  It is dealt by anchor into shards.  A shard adds the
+real words of its contents, by rising id, to a suffix automaton whose states know
+the smallest id that holds them, and streams each content through it: where the
+matching statistic reaches ``length``, the state names the first document with
+that window.  Every removed word is under a window that an automaton has matched;
+hashes only decide what meets.  All documents take over what was found for their
+contents.
+
+:func:`reference_spans` does the same for a small reference: automata of its
+shards are broadcast and all documents streamed through each.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ship import ship
-from .common import _WORD_POWERS, broadcast_if, materialise, mix64, table, window_hashes, word_hashes
+from .common import broadcast_if, materialise, table, window_hashes, word_hashes
 
-#: Contexts of an anchor beyond which its windows are compared by hash, over all tasks, instead of in one automaton.
-HOT_CONTEXTS = 200
+#: Contents of an anchor beyond which its windows are dealt to shards one by one, instead of all to one.
+HOT_CONTENTS = 200
+#: Contents of a shard, about.
+SHARD_CONTENTS = 2_000
+_ROW = ("doc_id", "row")
 
 
 class SuffixAutomaton:
-    """Suffix automaton of several sequences of hashable symbols."""
+    """Suffix automaton of several sequences of hashable symbols; states know the first owner that holds them."""
 
     def __init__(self) -> None:
         self.next: list[dict] = [{}]
         self.link, self.length = [-1], [0]
+        self.owner: list[int | None] = [None]
 
     def _clone(self, p: int, symbol: object, q: int) -> int:
         clone = len(self.next)
         self.next.append(dict(self.next[q]))
         self.link.append(self.link[q])
         self.length.append(self.length[p] + 1)
+        self.owner.append(self.owner[q])
         self.link[q] = clone
         while p >= 0 and self.next[p].get(symbol) == q:
             self.next[p][symbol] = clone
             p = self.link[p]
         return clone
 
-    def add(self, sequence: Iterable) -> None:
+    def add(self, sequence: Iterable, owner: int | None = None) -> None:
+        """Add a sequence; owners come in rising order, so a state keeps the one it was made for."""
         last = 0
         for symbol in sequence:
             q = self.next[last].get(symbol)
@@ -60,6 +72,7 @@ class SuffixAutomaton:
             self.next.append({})
             self.length.append(self.length[last] + 1)
             self.link.append(0)
+            self.owner.append(owner)
             p = last
             while p >= 0 and symbol not in self.next[p]:
                 self.next[p][symbol] = state
@@ -82,160 +95,206 @@ class SuffixAutomaton:
             out.append(n)
         return out
 
+    def owners(self, sequence: Iterable, length: int) -> list[int | None]:
+        """For each window of ``length`` symbols the first owner that holds it, or null where no sequence does."""
+        goto, link, size = self.next, self.link, self.length
+        state = n = 0
+        out: list[int | None] = []
+        for i, symbol in enumerate(sequence):
+            while state and symbol not in goto[state]:
+                state = link[state]
+                n = size[state]
+            state = goto[state].get(symbol, 0)
+            n = n + 1 if state else 0
+            while n >= length and size[link[state]] >= length:
+                state = link[state]  # shorter suffixes than a window don't matter, and longer ones neither
+            n = min(n, length)
+            if i + 1 >= length:
+                out.append(self.owner[state] if n >= length else None)
+        return out
 
-def contexts(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows, anchor and hash of each context of a document's word hashes."""
+
+def contexts(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and anchor of each context of a document's word hashes."""
     gram = max(1, length // 2)
     if len(words) < length:
         none = np.empty(0, np.int64)
-        return none, none, none, none
+        return none, none, none
     h = window_hashes(words, gram)
     offset = np.lib.stride_tricks.sliding_window_view(h, length - gram + 1).argmin(axis=1)
     at = offset + np.arange(len(offset))
     first = np.flatnonzero(np.diff(at, prepend=-1))
     count = np.diff(np.append(first, len(at)))
-    up, down = _WORD_POWERS.need(len(words) + 1)
-    total = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(mix64(words) * up[: len(words)], out=total[1:])
-    end = first + count - 1 + length
-    shape = (count * (length + 1) + offset[first]).astype(np.uint64)
-    whole = mix64((total[end] - total[first]) * down[first] + mix64(shape + np.uint64(1)))
-    return first, count, h[at[first]].view(np.int64), whole.view(np.int64)
+    return first, count, h[at[first]].view(np.int64)
+
+
+def spaced(text: str) -> tuple[bytes, np.ndarray]:
+    """The words of a text joined by one space, and where each begins; at the end where one more would."""
+    data = b" ".join(text.encode("utf-8", "surrogatepass").split())
+    if not data:
+        return data, np.zeros(1, np.int64)
+    gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+    return data, np.concatenate([[0], gaps + 1, [len(data) + 1]])
+
+
+def digests(data: bytes, begins: np.ndarray, first: np.ndarray, n_words: np.ndarray | int, size: int) -> bytes:
+    """Digests of ``size`` bytes of the runs of words from ``first`` on, one after the other."""
+    a, b = begins[first].tolist(), (begins[first + n_words] - 1).tolist()
+    return b"".join([blake2b(data[i:j], digest_size=size).digest() for i, j in zip(a, b, strict=True)])
 
 
 def _scan(docs: DataFrame, length: int) -> DataFrame:
-    """All contexts: ``doc_id, first, count, anchor, context``."""
+    """All contexts: ``doc_id, row, first, count, anchor, digest`` (of the content)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts, ids = [], []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = contexts(word_hashes(text.encode("utf-8", "surrogatepass")), length)
+            parts, whole, owners = [], [], []
+            for doc, row, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                data, begins = spaced(text)
+                found = contexts(word_hashes(data), length)
                 if len(found[0]):
                     parts.append(found)
-                    ids.append(np.full(len(found[0]), doc, np.int64))
+                    whole.append(digests(data, begins, found[0], found[1] - 1 + length, 8))
+                    owners.append((doc, row, len(found[0])))
             if parts:
-                first, count, anchor, whole = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(ids)), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(anchor), pa.array(whole)],
-                    ["doc_id", "first", "count", "anchor", "context"],
-                )
+                first, count, anchor = (np.concatenate(x) for x in zip(*parts, strict=True))
+                doc, row, n = (np.array(x, np.int64) for x in zip(*owners, strict=True))
+                columns = [np.repeat(doc, n), np.repeat(row, n).astype(np.int32), first.astype(np.int32), count.astype(np.int32), anchor, np.frombuffer(b"".join(whole), "<i8")]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "row", "first", "count", "anchor", "digest"])
 
-    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(scan, "doc_id long, first int, count int, anchor long, context long")
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(*_ROW, "text")
+    return rows.mapInArrow(scan, "doc_id long, row int, first int, count int, anchor long, digest long")
 
 
-def _with_text(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
-    """Documents with what ``per_doc`` has of them; texts are shuffled only if that is too much to broadcast."""
-    return docs.join(broadcast_if(per_doc, 400_000), "doc_id", how)
+def _with_text(docs: DataFrame, per_row: DataFrame, how: str) -> DataFrame:
+    """Documents with what ``per_row`` has of them; texts are shuffled if that is too much to broadcast."""
+    return docs.join(broadcast_if(per_row), [*_ROW], how)
 
 
-def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Words of contexts, as 32-bit hashes."""
+def _spans(rows: DataFrame, *columns: str) -> DataFrame:
+    return materialise(rows.groupBy(*_ROW).agg(F.collect_list(F.struct(*columns)).alias("spans")), "spans")
+
+
+def _fetch(docs: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+    """The words of ``contents``, read where their lead has them."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for doc, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                words = (word_hashes(text.encode("utf-8", "surrogatepass")) >> np.uint64(32)).astype("<u4")
-                rows += [(doc, s["first"], s["count"], s["anchor"], words[s["first"] : s["first"] + s["count"] - 1 + length].tobytes()) for s in spans]
+                data, begins = spaced(text)
+                for s in spans:
+                    end = begins[s["first"] + s["count"] - 1 + length] - 1
+                    rows.append((s["anchor"], s["digest"], doc, s["shared"], data[begins[s["first"]] : end]))
             if rows:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    ["doc_id", "first", "count", "anchor", "words"],
-                )
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "lead", "shared", "words"])
 
-    spans = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count", "anchor")).alias("spans"))
-    rows = _with_text(docs, spans, "inner").select("doc_id", "text", "spans")
-    return rows.mapInArrow(fetch, "doc_id long, first int, count int, anchor long, words binary")
+    leads = contents.select("lead.*", "anchor", "digest", (F.col("lead.doc_id") < F.col("most")).alias("shared"))
+    rows = _with_text(docs, _spans(leads, "first", "count", "anchor", "digest", "shared"), "inner").select("doc_id", "text", "spans")
+    return rows.mapInArrow(fetch, "anchor long, digest long, lead long, shared boolean, words binary")
 
 
 def _in_shard(length: int):
-    """Streams a shard's contexts; returns runs of known windows."""
+    """The automata of a shard: for each content the runs of windows that some smaller id may know, with the first that does."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, int]] = []
-        rows = rows.sort_values(["anchor", "doc_id", "first"], kind="stable")
-        for _, group in rows.groupby("anchor", sort=False):
-            automaton, known, waiting, before = SuffixAutomaton(), False, [], None
-            for doc, first, words in zip(group["doc_id"], group["first"], group["words"], strict=True):
-                sequence = np.frombuffer(words, "<u4").tolist()
-                if doc != before:  # windows count as known only from smaller ids
-                    for w in waiting:
-                        automaton.add(w)
-                    known, waiting, before = known or bool(waiting), [], doc
-                if known:
-                    full = np.array(automaton.matching(sequence)[length - 1 :]) >= length
-                    edges = np.diff(np.concatenate([[0], full.astype(np.int8), [0]]))
-                    for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
-                        out.append((int(doc), int(first + a), int(b - a)))
-                waiting.append(sequence)
-        return pd.DataFrame(out, columns=["doc_id", "first", "count"]).astype({"doc_id": "int64", "first": "int32", "count": "int32"})
+        out: list[tuple[int, int, int, int, int]] = []
+        rows = rows.sort_values(["anchor", "lead", "digest"], kind="stable")
+        edges = np.append(np.flatnonzero(np.diff(rows["anchor"].to_numpy(), prepend=rows["anchor"].iloc[0] - 1)), len(rows)).tolist()
+        anchors, marks, leads, shared = (rows[c].tolist() for c in ("anchor", "digest", "lead", "shared"))
+        words = [w.split(b" ") for w in rows["words"]]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            automaton = SuffixAutomaton()
+            for i in range(a, b):
+                automaton.add(words[i], leads[i])
+            for i in range(a, b):
+                known = np.array(automaton.owners(words[i], length), np.int64)
+                starts = np.flatnonzero(np.diff(known, prepend=known[0] - 1))
+                for start, n in zip(starts.tolist(), np.diff(np.append(starts, len(known))).tolist(), strict=True):
+                    if shared[i] or known[start] < leads[i]:
+                        out.append((anchors[i], marks[i], start, n, int(known[start])))
+        kinds = {"anchor": "int64", "digest": "int64", "start": "int32", "n": "int32", "owner": "int64"}
+        return pd.DataFrame(out, columns=[*kinds]).astype(kinds)
 
     return run
 
 
-def _windows(length: int):
-    """One row per window of a context: two hashes, id and place."""
+def _contents(rows: DataFrame) -> DataFrame:
+    """Distinct contents with the first place of their smallest id (``lead``) and their greatest id (``most``)."""
+    return rows.groupBy("anchor", "digest").agg(F.min(F.struct(*_ROW, "first", "count")).alias("lead"), F.max("doc_id").alias("most"))
+
+
+def _through_shards(docs: DataFrame, rows: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+    """Runs of windows of ``rows`` that a smaller id has, by automata of shards of their ``contents``."""
+    shards = max(64, -(-contents.count() // SHARD_CONTENTS))
+    words = _fetch(docs, contents, length).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    known = words.groupBy("shard").applyInPandas(_in_shard(length), "anchor long, digest long, start int, n int, owner long")
+    known = materialise(known, "known")
+    met = rows.join(broadcast_if(known), ["anchor", "digest"]).where("owner < doc_id")
+    return met.select(*_ROW, (F.col("first") + F.col("start")).alias("first"), F.col("n").alias("count"))
+
+
+def _windows(docs: DataFrame, rows: DataFrame, length: int) -> DataFrame:
+    """Each window of the contexts ``rows`` as a context of its own, its anchor and digest 128 bits of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, first, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                w = mix64(np.frombuffer(words, "<u4").astype(np.uint64) + np.uint64(1))
-                one, two = window_hashes(w, length), window_hashes(w, length, 7)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(np.full(len(one), doc, np.int64)), pa.array(np.arange(first, first + len(one), dtype=np.int32))],
-                    ["one", "two", "doc_id", "first"],
-                )
+            for doc, row, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                data, begins = spaced(text)
+                first = np.concatenate([np.arange(s["first"], s["first"] + s["count"]) for s in spans])
+                both = np.frombuffer(digests(data, begins, first, length, 16), "<i8").reshape(-1, 2)
+                n = len(first)
+                columns = [np.full(n, doc, np.int64), np.full(n, row, np.int32), first.astype(np.int32), np.ones(n, np.int32), both[:, 0].copy(), both[:, 1].copy()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "row", "first", "count", "anchor", "digest"])
 
-    return run
+    joined = _with_text(docs, _spans(rows, "first", "count"), "inner").select(*_ROW, "text", "spans")
+    return joined.mapInArrow(run, "doc_id long, row int, first int, count int, anchor long, digest long")
 
 
 def known_windows(docs: DataFrame, length: int = 50) -> DataFrame:
-    """Runs of windows (``doc_id``, ``first``, ``count``) that start in a document with a smaller id, too.
+    """Runs of windows (``doc_id``, ``row``, ``first``, ``count``) that start in a document with a smaller id, too.
 
-    ``docs``: ``doc_id``, ``text``.  Rows of null id or text have none and make none known.
+    ``docs``: ``doc_id``, ``row`` (tells rows of one id apart), ``text``.  Rows of
+    null id or text have none and make none known.
     """
     found = materialise(_scan(docs, length), "contexts")
-    anchors = found.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("context").alias("c"), F.max("context").alias("d"))
-    shared = materialise(anchors.where("a < b").select("anchor", (F.col("c") == F.col("d")).alias("same"), F.col("a").alias("lead")), "anchors")
-    there = found.join(broadcast_if(shared, 1_000_000), "anchor")
-    runs = [there.where("same AND lead < doc_id").select("doc_id", "first", "count")]
-    mixed = there.where("NOT same")
-    leads = mixed.groupBy("anchor", "context").agg(F.min("doc_id").alias("head"))
-    leads = materialise(leads, "context-leads")
-    mixed = mixed.join(broadcast_if(leads, 1_000_000), ["anchor", "context"])
-    runs.append(mixed.where("head < doc_id").select("doc_id", "first", "count"))
-    hot = materialise(leads.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS).select("anchor"), "hot-anchors")
-    heads = mixed.where("head = doc_id").join(broadcast_if(hot.withColumn("hot", F.lit(True)), 1_000_000), "anchor", "left")
-    heads = heads.select("doc_id", "first", "count", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))
-    spread = max(64, -(-leads.count() // 2_000))
-    cold = _fetch(docs, heads.where("NOT hot"), length).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(spread)))
-    runs.append(cold.groupBy("shard").applyInPandas(_in_shard(length), "doc_id long, first int, count int"))
-    windows = _fetch(docs, heads.where("hot"), length).select("doc_id", "first", "words")
-    windows = materialise(windows.mapInArrow(_windows(length), "one long, two long, doc_id long, first int"), "hot-windows")
-    least = windows.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    again = windows.join(least, ["one", "two"]).where("least < doc_id")
-    runs.append(again.select("doc_id", "first", F.lit(1).alias("count")))
-    out = runs[0]
-    for r in runs[1:]:
-        out = out.unionByName(r)
-    return out
-
-
-def cut(text: str | None, runs: list[dict] | None, length: int) -> tuple[int, int, bytes]:
+    shared = found.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    there = materialise(found.join(broadcast_if(materialise(shared, "anchors")), "anchor"), "shared-contexts")
+    contents = materialise(_contents(there), "contents")
+    hot = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTENTS).select("anchor")
+    hot = materialise(hot, "hot-anchors")
+    cold = contents.join(broadcast_if(hot), "anchor", "left_anti")
+    runs = _through_shards(docs, there, cold, length)
+    if not hot.limit(1).count():
+        return runs
+    windows = materialise(_windows(docs, there.join(broadcast_if(hot), "anchor", "left_semi"), length), "hot-windows")
+    repeated = materialise(_contents(windows).where("lead.doc_id < most"), "hot-contents")
+    return runs.unionByName(_through_shards(docs, windows, repeated, length))
+
+
+def merged(runs: Column, length: int) -> Column:
+    """Runs of windows as disjoint ranges of words ``a`` to ``b`` (exclusive), in order."""
+    ranges = F.array_sort(F.transform(runs, lambda r: F.struct(r["first"].alias("a"), (r["first"] + r["count"] - 1 + length).alias("b"))))
+    empty = F.array().cast("array<struct<a: int, b: int>>")
+
+    def step(done: Column, r: Column) -> Column:
+        last = F.element_at(done, -1)
+        wider = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], r["b"]).alias("b"))))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["b"] >= r["a"]), wider).otherwise(F.concat(done, F.array(r)))
+
+    return F.aggregate(ranges, empty, step)
+
+
+def cut(text: str | None, ranges: list[dict] | None) -> tuple[int, int, bytes]:
     """Number of words, number removed, and the words left, joined by one space."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
-    if not runs:
-        return len(words), 0, b" ".join(words)
-    covered = np.zeros(len(words) + 1, np.int32)
-    for r in runs:
-        a, b = r["first"], min(r["first"] + r["count"] - 1 + length, len(words))
-        if a < b:
-            covered[a] += 1
-            covered[b] -= 1
-    gone = np.cumsum(covered)[:-1] > 0
-    kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+    kept, at = [], 0
+    for r in ranges or []:
+        kept += words[at : r["a"]]
+        at = r["b"]
+    kept += words[at:]
     return len(words), len(words) - len(kept), b" ".join(kept)
 
 
@@ -244,14 +303,15 @@ def remove_runs(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [cut(t, r, length) for t, r in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            found = [cut(t, r) for t, r in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2].decode("utf-8", "surrogatepass") for x in found], pa.string())],
                 ["doc_id", "n_words", "n_removed", "text"],
             )
 
-    per_doc = materialise(runs.groupBy("doc_id").agg(F.collect_list(F.struct("first", "count")).alias("runs")), "runs")
-    rows = _with_text(docs, per_doc, "left").select("doc_id", "text", "runs")
+    per_row = runs.groupBy(*_ROW).agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+    per_row = materialise(per_row.select(*_ROW, merged(F.col("runs"), length).alias("ranges")), "ranges")
+    rows = _with_text(docs, per_row, "left").select("doc_id", "text", "ranges")
     return rows.mapInArrow(apply, "doc_id long, n_words long, n_removed long, text string")
 
 
@@ -261,16 +321,19 @@ def substring_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
     Words are parted by ASCII white space and otherwise compared as they are.  A
     word goes if one of the ``length``-word windows over it starts in a document
     with a smaller id, judged on the input.  A null text has no words; a null id
-    loses none and hides none; rows of the same id don't remove each other's
-    words.  Texts under ``length`` words stay whole.  An empty table gives no
-    rows; other columns aren't read.
-
-    Scale: contexts, not windows or texts, are shuffled: two hashes for some
-    dozen words.  Anchors that very many different contexts share are compared
-    window by window with pre-aggregation.  No step gathers a group whole.
+    loses none and hides none; rows of one id don't remove each other's words, and
+    each is judged by its own text.  Texts under ``length`` words stay whole.  An
+    empty table gives no rows; other columns aren't read.
+
+    Scale: contexts, not windows, are shuffled: 40 bytes for some dozen words.
+    Copies of a content count as one before they reach a shard.  Windows of an
+    anchor with very many contents are dealt to shards one by one, so a shard
+    holds a bounded number of words.  Texts are shuffled only to fetch contents
+    and to cut, and only where the spans wanted are too many bytes to broadcast.
     """
     ship(docs.sparkSession)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("row"), text.alias("text"))
     return remove_runs(slim, known_windows(slim, length), length)
 
 

@@ -118,13 +118,28 @@ def plain_removal(rows, n):
 
 @pytest.mark.parametrize("hot", [200, 1])
 def test_substring_dedup(docs, rows, none, monkeypatch, hot):
-    monkeypatch.setattr(x4, "HOT_CONTEXTS", hot)
+    monkeypatch.setattr(x4, "HOT_CONTENTS", hot)
     got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in x4.substring_dedup(docs, 20).where("doc_id IS NOT NULL").collect()}
     assert got == plain_removal(rows, 20)
     assert x4.substring_dedup(none).count() == 0
 
 
+def test_substring_words_of_like_hashes(spark):
+    base = [f"w{i}" for i in range(61)]
+    texts = [" ".join([*base[:30], x, *base[31:]]) for x in ("w48449x", "w99124x")]  # hashes alike in 32 bits
+    df = spark.createDataFrame([*enumerate(texts), (7, texts[0]), (7, prose(60)), (7, texts[0])], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in x4.substring_dedup(df).collect())
+    assert got == [(0, 61, 0), (1, 61, 0), (7, 60, 0), (7, 61, 61), (7, 61, 61)]
+
+
 def test_suffix_automaton(spark):
+    owned = x4.SuffixAutomaton()
+    words = [[RNG.choice("ab") for _ in range(40)] for _ in range(6)]
+    for i, s in enumerate(words):
+        owned.add(s, i)
+    for s in [*words, [RNG.choice("abc") for _ in range(40)]]:
+        first = [next((o for o, w in enumerate(words) if "".join(s[i : i + 4]) in "".join(w)), None) for i in range(37)]
+        assert owned.owners(s, 4) == first
     a = x4.SuffixAutomaton()
     sequences = [[RNG.choice("ab") for _ in range(30)] for _ in range(4)]
     for s in sequences:
