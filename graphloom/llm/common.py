@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,11 +22,14 @@ ASCII_SPACE = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor and the driver can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset (local
-    tests) a fresh temporary folder is made and put into the setting.
+    The cluster names it in ``spark.checkpoint.dir`` or by ``setCheckpointDir``.
+    Where neither is set, a session that runs within the driver (local tests) gets
+    a fresh temporary folder; on a cluster that is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master) is None:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="graphloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -39,11 +43,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     ship(spark)
-    path = f"{shared_dir(spark)}/graphloom/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/graphloom/{spark.sparkContext.applicationId}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete what :func:`materialise` has written in this application; results that read it must have been used by then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, with underscores behind where a column is called so already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

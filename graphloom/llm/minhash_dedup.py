@@ -1,11 +1,12 @@
 """Near-duplicate detection by a multi-index Hamming join of MinHash signatures.
 
-A signature has ``chunks`` chunks of four components of 32 bits.  Two signatures
-that differ in fewer than ``2 * chunks`` components have, by the pigeonhole
-principle, a chunk with one difference at most; each chunk is therefore indexed
-four times, one component left out each time, and equal keys find all such
-pairs.  Documents that share a key and differ in few enough components
-(:func:`farthest`) are candidates; links are confirmed on the full sets of shingles.
+A signature is ``CHUNKS`` chunks of four components of 32 bits, nothing else.  Two
+signatures that differ in fewer than ``2 * CHUNKS`` components have, by the
+pigeonhole principle, a chunk with one difference at most; each chunk is
+therefore indexed four times, one component left out each time, and equal keys
+find all such pairs.  The threshold on the signatures' distance
+(:func:`farthest`) is never above that, so the index misses no pair under it.
+Those pairs are candidates; links are confirmed on the full sets of shingles.
 """
 
 from __future__ import annotations
@@ -24,15 +25,14 @@ from ..functions.ship import ship
 from .common import broadcast_if, materialise, mix64, table, window_hashes, word_hashes
 from .components import connected_components
 
-CHUNKS, WIDTH = 8, 4
-#: Components of a signature; the index uses the first ``CHUNKS * WIDTH``.
-COMPONENTS = 64
-#: Chance that a pair just as similar as asked differs in too many components to be confirmed.
+CHUNKS, WIDTH = 14, 4
+COMPONENTS = CHUNKS * WIDTH
+#: Chance that a pair just as similar as asked differs in too many components to be a candidate, where the index allows that.
 MISS = 1e-7
 #: Signatures that share a key and are compared with each other; those of a key with more are all candidates.
 KEY_ROWS = 512
 #: Sets of a candidate class compared in one task; a larger class is dealt out.
-CLASS_ROWS = 4096
+CLASS_ROWS = 512
 #: Sets of a large class that all its tasks get.
 LEADERS = 8
 _MULTIPLY = mix64(np.arange(1, COMPONENTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -57,7 +57,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 def keys(signatures: np.ndarray) -> np.ndarray:
     """Keys of n signatures, shape (n, chunks * width): per chunk and component left out one."""
-    s = mix64(signatures[:, : CHUNKS * WIDTH].astype(np.uint64).reshape(-1, CHUNKS, WIDTH) + (np.arange(WIDTH, dtype=np.uint64) << np.uint64(32)))
+    s = mix64(signatures.astype(np.uint64).reshape(-1, CHUNKS, WIDTH) + (np.arange(WIDTH, dtype=np.uint64) << np.uint64(32)))
     rest = s.sum(axis=2, keepdims=True) - s
     name = mix64(np.arange(1, CHUNKS * WIDTH + 1, dtype=np.uint64)).reshape(CHUNKS, WIDTH)
     return mix64(rest ^ name).reshape(len(signatures), -1)
@@ -120,12 +120,18 @@ def _keyed(nodes: DataFrame) -> DataFrame:
 
 
 def farthest(percent: int) -> int:
-    """Most components in which a candidate pair may differ: the binomial quantile that leaves ``MISS``."""
+    """Most components in which a candidate pair may differ: the binomial quantile that leaves ``MISS``, or as many as the index guarantees."""
     p, n, left, k = 1 - percent / 100, COMPONENTS, 1.0, -1
     while left > MISS:
         k += 1
         left -= math.comb(n, k) * p**k * (1 - p) ** (n - k)
-    return k
+    return min(k, 2 * CHUNKS - 1)
+
+
+def miss(percent: int) -> float:
+    """Chance that a pair just as similar as asked is no candidate."""
+    p, n = 1 - percent / 100, COMPONENTS
+    return sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(farthest(percent) + 1, n + 1))
 
 
 def _close(signatures: np.ndarray, i: int, most: int) -> np.ndarray:
@@ -228,9 +234,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     its links.  An empty table gives no rows; other columns aren't read.
 
     Exactness: links are confirmed on the full sets, and confirmation covers all
-    pairs of a candidate class that no confirmed link joins already.  A link
-    under the similarity asked for is missed only if every chunk has two
-    differences: 1e-6 at 0.8, 2e-8 at 0.85.
+    pairs of a candidate class that no confirmed link joins already.  The index
+    finds every pair under the threshold on signatures; a pair just as similar as
+    asked is above it with the chance :func:`miss` (under 1e-6 at 0.8 and 0.85).
 
     Scale: equal sets count as one from the start.  Candidates meet through keys
     by minima, never as all pairs.  Each candidate's set is shuffled once; classes

@@ -20,6 +20,7 @@ from itertools import accumulate
 from math import lcm
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -194,6 +195,21 @@ def in_order(mixed: DataFrame, columns: list[str]) -> DataFrame:
     return mixed.repartitionByRange("position").sortWithinPartitions("position").select(*columns)
 
 
+def written_order(docs: DataFrame) -> Column:
+    """Where a row of a table that was written in order is in it: the number of its file, then its place in the file.
+
+    Spark reads files in whatever order balances tasks, so the order is taken from
+    the files' names.  A frame that wasn't read from files is in order as it is.
+    """
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    name = F.col("_metadata.file_name")
+    number = F.coalesce(F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), F.lit(0))
+    return number * (1 << 40) + F.col("_metadata.row_index")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, sources interleaved to weights that flatten their sizes (rows to the power 0.7)."""
     rows: Column | DataFrame = mix(table(spark, sf_dir, "documents"), tempered())

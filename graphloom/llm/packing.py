@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ship import ship
@@ -28,7 +28,7 @@ from .common import materialise, table
 MEMO_WORDS = 250_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-    "sequence_id long, offset long, ids binary, source_part long"
+    "sequence_id long, offset long, sequence_order long, ids binary, source_part long"
 )
 
 
@@ -59,6 +59,7 @@ class WordTokenizer:
         self.mark = next(((i, t.content) for i, t in special.items() if t.special), None)
         parts = json.loads(self.model.to_str())
         steps = json.dumps([parts["normalizer"], parts["pre_tokenizer"]])
+        #: Whether the vocabulary is of that kind; with any other, texts are encoded whole.
         self.parted = '"Lowercase"' in steps and "[\\\\p{L}]+" in steps
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -79,6 +80,8 @@ class WordTokenizer:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
+        if not self.parted:  # white space may be part of ids, or words depend on what is beside them
+            return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = text.encode("utf-8", "surrogatepass").split()  # on ASCII white space
         young = self.words[0]
         new = _recall(self.words, {*words}.difference(young))
@@ -128,20 +131,21 @@ class Packer:
 
     def _emit(self, pieces: list[tuple]) -> list[tuple]:
         out, offset = [], 0
-        for doc, start, ids, total in pieces:
+        order = max(p[4] for p in pieces)
+        for doc, start, ids, total, _ in pieces:
             n = len(ids) // 4
-            out.append((doc, start, n, zlib.crc32(ids), total, self.next_id, offset, ids))
+            out.append((doc, start, n, zlib.crc32(ids), total, self.next_id, offset, order, ids))
             offset += n
         self.next_id += 1
         return out
 
-    def add(self, doc: int | None, start: int, ids: bytes, total: int) -> Iterator[list[tuple]]:
+    def add(self, doc: int | None, start: int, ids: bytes, total: int, order: int = 0) -> Iterator[list[tuple]]:
         """Place a run of a document's ids; yield each window that is full by it."""
         while ids:
             n = len(ids) // 4
             if n >= self.size:
                 cut = self.size
-                yield self._emit([(doc, start, ids[: 4 * cut], total)])
+                yield self._emit([(doc, start, ids[: 4 * cut], total, order)])
             else:
                 fits = [w for w in self.open if w[0] >= n]
                 if not fits and len(self.open) < self.limit:
@@ -150,7 +154,7 @@ class Packer:
                 window = min(fits or self.open, key=lambda w: w[0])  # the best fit, or else the fullest
                 cut = min(n, window[0])
                 window[0] -= cut
-                window[1].append((doc, start, ids[: 4 * cut], total))
+                window[1].append((doc, start, ids[: 4 * cut], total, order))
                 if not window[0]:
                     self.open = [w for w in self.open if w is not window]
                     yield self._emit(window[1])
@@ -168,9 +172,9 @@ class Packer:
 
 
 def _table(rows: Iterable[tuple], part: int | None, keep_ids: bool) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 7 + [pa.binary(), pa.int64()]
-    cols = list(zip(*rows, strict=True)) or [()] * 8
-    cols = [*cols[:7], cols[7] if keep_ids else [None] * len(cols[7]), [part] * len(cols[0])]
+    kinds = [pa.int64()] * 8 + [pa.binary(), pa.int64()]
+    cols = list(zip(*rows, strict=True)) or [()] * 9
+    cols = [*cols[:8], cols[8] if keep_ids else [None] * len(cols[8]), [part] * len(cols[0])]
     names = [x.split()[0] for x in PIECES.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
@@ -183,10 +187,10 @@ def _merger(level: int, size: int, fan_in: int) -> Callable[[pd.DataFrame], pd.D
         packer = Packer(size, 1, (level << 58) | (group << 28))
         rows = rows.sort_values(["source_part", "offset"])
         full: list[tuple] = []
-        for doc, start, ids, total in zip(
-            rows["doc_id"], rows["start"], rows["ids"], rows["doc_tokens"], strict=True
+        for doc, start, ids, total, order in zip(
+            rows["doc_id"], rows["start"], rows["ids"], rows["doc_tokens"], rows["sequence_order"], strict=True
         ):
-            for window in packer.add(None if pd.isna(doc) else int(doc), int(start), bytes(ids), int(total)):
+            for window in packer.add(None if pd.isna(doc) else int(doc), int(start), bytes(ids), int(total), int(order)):
                 full += window
         both = [_table(full, None, True).to_pandas(), _table(packer.rest(), group, True).to_pandas()]
         out = pd.concat([b for b in both if len(b)], ignore_index=True)
@@ -203,16 +207,23 @@ def pack(
     open_windows: int = 16,
     with_ids: bool = True,
     fan_in: int = 64,
+    order: Column | None = None,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``size`` ids; one row per piece.
 
     A document is its text's ids followed by ``end_id``; null text is an empty
     one, so each row gives one id at least.  Every id lies in exactly one piece.
-    Returns ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``
-    and, unless ``with_ids`` is false, the ids as little-endian unsigned 32-bit
-    integers.  All sequences are full but the last one; ids of sequences are
-    unique, not gapless.  Ids of documents are carried along: null and repeated
-    ones are packed like others.  An empty table gives no rows.
+    Returns ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``,
+    ``sequence_order`` and, unless ``with_ids`` is false, the ids as little-endian
+    unsigned 32-bit integers.  All sequences are full but the last one; ids of
+    sequences are unique, not gapless.  Ids of documents are carried along: null
+    and repeated ones are packed like others.  An empty table gives no rows, and
+    other columns aren't read.
+
+    ``order``, a long over ``docs``, says where a document is to come;
+    ``sequence_order`` is then the greatest of the sequence's documents, so
+    sequences sorted by it follow that order but for the open windows.  Without
+    ``order`` it is null.
 
     Scale: texts aren't shuffled.  A task's memory is its open windows; less than
     one window of each task goes to the merging tree (``fan_in`` tasks a step).
@@ -227,9 +238,9 @@ def pack(
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = encode(text or "") + last
-                for window in packer.add(doc, 0, ids, len(ids) // 4):
+                for window in packer.add(doc, 0, ids, len(ids) // 4, at):
                     rows += window
                 if len(rows) >= 512:
                     yield _table(rows, None, with_ids)
@@ -242,7 +253,8 @@ def pack(
         if left := packer.rest():
             yield _table(left, part, True)
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    at = F.coalesce(order.cast("long"), F.lit(0)) if order is not None else F.lit(0).cast("long")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), at.alias("at"))
     pieces = materialise(slim.mapInArrow(pack_part, PIECES), "pieces")
     done = [pieces.where("source_part IS NULL")]
     left = pieces.where("source_part IS NOT NULL")
@@ -261,6 +273,8 @@ def pack(
     out = done[0]
     for more in [*done[1:], left]:
         out = out.unionByName(more)
+    if order is None:
+        out = out.withColumn("sequence_order", F.lit(None).cast("long"))
     return out.drop("source_part", *([] if with_ids else ["ids"]))
 
 
@@ -272,4 +286,4 @@ def default_tokenizer() -> str:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2,048 ids."""
-    return pack(table(spark, sf_dir, "documents"), default_tokenizer(), with_ids=False)
+    return pack(table(spark, sf_dir, "documents"), default_tokenizer(), with_ids=False).drop("sequence_order")

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import broadcast_if, materialise
+
 ANY_LETTER = re.compile(r"[^\W\d_]")
 _GRAM = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 Sparse = tuple[np.ndarray, np.ndarray]
@@ -62,9 +64,18 @@ def byte_grams(text: str, n: int = 3, bits: int = 15) -> Sparse:
 
 
 def bounded_sample(rows: DataFrame, group: str, per_group: int, key: str = "doc_id", seed: int = 5) -> DataFrame:
-    """At most ``per_group`` (under 1,000: then Spark cuts before it shuffles) rows of each group, by a seeded hash of ``key``."""
-    order = W.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), key), key)
-    return rows.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_group).drop("_nth")
+    """At most ``per_group`` rows of each group, by a seeded hash of ``key``.
+
+    The hash is first cut off where, by the group's number of rows, some twice as
+    many as wanted are left, so a window sees a bounded number of them however
+    many rows and partitions there are.
+    """
+    drawn, place = F.xxhash64(F.lit(seed), key), 1 << 40
+    sizes = rows.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias("_size"))
+    few = rows.join(broadcast_if(materialise(sizes, "sizes")), F.col(group) == F.col("_group"))
+    few = few.where(F.pmod(drawn, F.lit(place)) * F.col("_size") < F.lit(float(place)) * (2 * per_group + 50)).select(rows.columns)
+    order = W.partitionBy(group).orderBy(F.pmod(drawn, F.lit(place)), key)
+    return few.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_group).drop("_nth")
 
 
 def collect_sparse(docs: DataFrame, label: str, features: Callable[[str], Sparse]) -> list[tuple[object, Sparse]]:

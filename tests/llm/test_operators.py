@@ -176,11 +176,12 @@ def test_near_duplicates(docs, rows, none, monkeypatch, size, percent, limit):
 
 
 def test_pigeonhole():
-    a = np.arange(64, dtype=np.uint32)[None]
+    a = np.arange(x7.COMPONENTS, dtype=np.uint32)[None]
     for _ in range(200):
         b = a.copy()
-        b[0, RNG.sample(range(32), 15)] += 1000
+        b[0, RNG.sample(range(x7.COMPONENTS), 2 * x7.CHUNKS - 1)] += 1000
         assert (x7.keys(a) == x7.keys(b)).any()
+    assert all(x7.farthest(p) < 2 * x7.CHUNKS and x7.miss(p) < 1e-6 for p in (80, 85))
 
 
 def test_packing(docs, rows, none):
