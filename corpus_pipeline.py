@@ -37,8 +37,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2,048 ids, with the ids."""
-    return packing.pack(docs, packing.default_tokenizer())
+    """Pieces of sequences of 2,048 ids, with the ids; ``sequence_order`` carries on the order in which sources are mixed."""
+    return packing.pack(docs, packing.default_tokenizer(), order=mixing.written_order(docs))
 
 
 STAGES = [
