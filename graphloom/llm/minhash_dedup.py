@@ -297,3 +297,25 @@ def _outside(large: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by three-word shingles at a similarity of 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+  FROM words
+),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common WHERE 100 * c >= 85 * (nx + ny - c)),
+reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT links.y, reached.root FROM reached JOIN links ON links.x = reached.doc_id WHERE reached.root < links.y
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM sets JOIN reached USING (doc_id) GROUP BY doc_id, s
+"""

@@ -18,5 +18,6 @@ QUERIES = {
 SQL = {
     "op4_substring_dedup": substring_dedup.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op7_minhash_near_dedup": minhash_dedup.OP7_SQL,
     "op9_topk_search": topk_search.OP9_SQL,
 }

@@ -88,14 +88,16 @@ def top_k(
     is_query: Column,
     k: int = 10,
     block_rows: int = 8192,
-    query_rows: int = 512,
+    query_rows: int = 4096,
 ) -> DataFrame:
     """For each query row its ``k`` best other rows: ``query_id, rank, vec_id, score``.
 
     Vectors (``vec_id``, ``embedding``: integers) that are null take no part.
     Vectors meet those of their own length only.  Ties go to the smaller
     ``vec_id``; rows that share a query's id are not its candidates.  A null id
-    takes no part.  Fewer than ``k`` candidates give fewer rows.
+    takes no part.  Fewer than ``k`` candidates give fewer rows.  Rows that repeat
+    a query's id are ranked together; a candidate that repeats an id is ranked as
+    often.  An empty table gives no rows; other columns aren't read.
 
     Scale: a grid of blocks of queries and of candidates, each cell a task of
     bounded memory; a cell returns ``k`` rows per query.
