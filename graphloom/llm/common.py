@@ -75,7 +75,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: A side of a join is broadcast up to so many bytes, as counted by :func:`bytes_of`.
-BROADCAST_BYTES = 4 << 20
+BROADCAST_BYTES = 1 << 20
 
 
 def _bytes(value: Column, kind: T.DataType) -> Column:

@@ -31,12 +31,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ship import ship
-from .common import broadcast_if, materialise, table, window_hashes, word_hashes
+from .common import broadcast_if, bytes_of, materialise, table, window_hashes, word_hashes
 
 #: Contents of an anchor beyond which its windows are dealt to shards one by one, instead of all to one.
 HOT_CONTENTS = 200
 #: Contents of a shard, about.
 SHARD_CONTENTS = 2_000
+#: What is wanted of texts is broadcast to them up to so many bytes; beyond that only its ids, up to so many; beyond that texts are shuffled whole.
+TO_TEXTS_BYTES, IDS_BYTES = 8 << 20, 64 << 20
 _ROW = ("doc_id", "row")
 
 
@@ -167,8 +169,18 @@ def _scan(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _with_text(docs: DataFrame, per_row: DataFrame, how: str) -> DataFrame:
-    """Documents with what ``per_row`` has of them; texts are shuffled if that is too much to broadcast."""
-    return docs.join(broadcast_if(per_row), [*_ROW], how)
+    """Documents with what ``per_row`` has of them (``inner``) or with null where it has nothing (``left``)."""
+    if bytes_of(per_row) <= TO_TEXTS_BYTES:
+        return docs.join(F.broadcast(per_row), [*_ROW], how)
+    ids = per_row.select("doc_id")
+    if bytes_of(ids) > IDS_BYTES:
+        return docs.join(per_row.hint("merge"), [*_ROW], how)
+    # Only texts that something is wanted of are shuffled.
+    some = docs.join(F.broadcast(ids), "doc_id", "left_semi").join(per_row.hint("merge"), [*_ROW], how)
+    if how == "inner":
+        return some
+    rest = docs.where("doc_id IS NULL").unionByName(docs.where("doc_id IS NOT NULL").join(F.broadcast(ids), "doc_id", "left_anti"))
+    return some.unionByName(rest, allowMissingColumns=True)
 
 
 def _spans(rows: DataFrame, *columns: str) -> DataFrame:
@@ -269,7 +281,8 @@ def known_windows(docs: DataFrame, length: int = 50) -> DataFrame:
     runs = _through_shards(docs, there, cold, length)
     if not hot.limit(1).count():
         return runs
-    windows = materialise(_windows(docs, there.join(broadcast_if(hot), "anchor", "left_semi"), length), "hot-windows")
+    marked = there.join(broadcast_if(hot.withColumn("hot", F.lit(True))), "anchor", "left")
+    windows = materialise(_windows(docs, marked.where("hot").drop("hot"), length), "hot-windows")
     repeated = materialise(_contents(windows).where("lead.doc_id < most"), "hot-contents")
     return runs.unionByName(_through_shards(docs, windows, repeated, length))
 
@@ -298,6 +311,16 @@ def cut(text: str | None, ranges: list[dict] | None) -> tuple[int, int, bytes]:
     return len(words), len(words) - len(kept), b" ".join(kept)
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row``: a hash of the text for ids that are there with several texts, else 0."""
+    mark = F.hash("text")
+    several = docs.groupBy("doc_id").agg(F.min(mark).alias("a"), F.max(mark).alias("b")).where("a < b AND doc_id IS NOT NULL")
+    several = materialise(several.select("doc_id", F.lit(True).alias("_several")), "repeated-ids")
+    if not several.limit(1).count():
+        return docs.withColumn("row", F.lit(0))
+    return docs.join(broadcast_if(several), "doc_id", "left").withColumn("row", F.when(F.col("_several"), mark).otherwise(0)).drop("_several")
+
+
 def remove_runs(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     """``doc_id, n_words, n_removed, text`` of every document, text being the words left."""
 
@@ -329,11 +352,10 @@ def substring_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
     Copies of a content count as one before they reach a shard.  Windows of an
     anchor with very many contents are dealt to shards one by one, so a shard
     holds a bounded number of words.  Texts are shuffled only to fetch contents
-    and to cut, and only where the spans wanted are too many bytes to broadcast.
+    and to cut, and only those with spans, if these are too many bytes to broadcast.
     """
     ship(docs.sparkSession)
-    text = F.col("text").cast("string")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("row"), text.alias("text"))
+    slim = _told_apart(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     return remove_runs(slim, known_windows(slim, length), length)
 
 

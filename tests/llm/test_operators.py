@@ -116,9 +116,10 @@ def plain_removal(rows, n):
     return out
 
 
-@pytest.mark.parametrize("hot", [200, 1])
-def test_substring_dedup(docs, rows, none, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "limit"), [(200, 8 << 20), (1, 0)])
+def test_substring_dedup(docs, rows, none, monkeypatch, hot, limit):
     monkeypatch.setattr(x4, "HOT_CONTENTS", hot)
+    monkeypatch.setattr(x4, "TO_TEXTS_BYTES", limit)
     got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in x4.substring_dedup(docs, 20).where("doc_id IS NOT NULL").collect()}
     assert got == plain_removal(rows, 20)
     assert x4.substring_dedup(none).count() == 0
