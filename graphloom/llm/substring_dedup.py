@@ -238,31 +238,33 @@ def _contents(rows: DataFrame) -> DataFrame:
     return rows.groupBy("anchor", "digest").agg(F.min(F.struct(*_ROW, "first", "count")).alias("lead"), F.max("doc_id").alias("most"))
 
 
-def _through_shards(docs: DataFrame, rows: DataFrame, contents: DataFrame, length: int) -> DataFrame:
-    """Runs of windows of ``rows`` that a smaller id has, by automata of shards of their ``contents``."""
+def _through_shards(docs: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+    """What the automata of shards of ``contents`` know: ``anchor, digest, start, n, owner``."""
     shards = max(64, -(-contents.count() // SHARD_CONTENTS))
     words = _fetch(docs, contents, length).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     known = words.groupBy("shard").applyInPandas(_in_shard(length), "anchor long, digest long, start int, n int, owner long")
-    known = materialise(known, "known")
-    met = rows.join(broadcast_if(known), ["anchor", "digest"]).where("owner < doc_id")
-    return met.select(*_ROW, (F.col("first") + F.col("start")).alias("first"), F.col("n").alias("count"))
+    return materialise(known, "known")
 
 
-def _windows(docs: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """Each window of the contexts ``rows`` as a context of its own, its anchor and digest 128 bits of its words."""
+def _windows(docs: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+    """Each window of ``contents`` where their lead has it: ``start`` in the content, and 128 bits of its words."""
+    kept = ("anchor", "digest", "most")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc, row, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 data, begins = spaced(text)
-                first = np.concatenate([np.arange(s["first"], s["first"] + s["count"]) for s in spans])
+                count = np.array([s["count"] for s in spans])
+                start = np.concatenate([np.arange(n) for n in count])
+                first = np.repeat([s["first"] for s in spans], count) + start
                 both = np.frombuffer(digests(data, begins, first, length, 16), "<i8").reshape(-1, 2)
-                n = len(first)
-                columns = [np.full(n, doc, np.int64), np.full(n, row, np.int32), first.astype(np.int32), np.ones(n, np.int32), both[:, 0].copy(), both[:, 1].copy()]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "row", "first", "count", "anchor", "digest"])
+                columns = [np.repeat(np.array([s[c] for s in spans], np.int64), count) for c in kept]
+                columns += [start.astype(np.int32), np.full(len(first), doc, np.int64), np.full(len(first), row, np.int32), first.astype(np.int32), both[:, 0].copy(), both[:, 1].copy()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*kept, "start", "doc_id", "row", "first", "one", "two"])
 
-    joined = _with_text(docs, _spans(rows, "first", "count"), "inner").select(*_ROW, "text", "spans")
-    return joined.mapInArrow(run, "doc_id long, row int, first int, count int, anchor long, digest long")
+    spans = _spans(contents.select("lead.*", *kept), "first", "count", *kept)
+    joined = _with_text(docs, spans, "inner").select(*_ROW, "text", "spans")
+    return joined.mapInArrow(run, "anchor long, digest long, most long, start int, doc_id long, row int, first int, one long, two long")
 
 
 def known_windows(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -275,16 +277,22 @@ def known_windows(docs: DataFrame, length: int = 50) -> DataFrame:
     shared = found.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
     there = materialise(found.join(broadcast_if(materialise(shared, "anchors")), "anchor"), "shared-contexts")
     contents = materialise(_contents(there), "contents")
-    hot = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTENTS).select("anchor")
-    hot = materialise(hot, "hot-anchors")
-    cold = contents.join(broadcast_if(hot), "anchor", "left_anti")
-    runs = _through_shards(docs, there, cold, length)
-    if not hot.limit(1).count():
-        return runs
-    marked = there.join(broadcast_if(hot.withColumn("hot", F.lit(True))), "anchor", "left")
-    windows = materialise(_windows(docs, marked.where("hot").drop("hot"), length), "hot-windows")
-    repeated = materialise(_contents(windows).where("lead.doc_id < most"), "hot-contents")
-    return runs.unionByName(_through_shards(docs, windows, repeated, length))
+    hot = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTENTS)
+    hot = materialise(hot.select("anchor", F.lit(True).alias("hot")), "hot-anchors")
+    marked = contents.join(broadcast_if(hot), "anchor", "left")
+    known = _through_shards(docs, marked.where("hot IS NULL").drop("hot"), length)
+    if hot.limit(1).count():
+        # The windows of a hot anchor's contents are contents of their own, with an anchor each.
+        windows = materialise(_windows(docs, marked.where("hot").drop("hot"), length), "hot-windows")
+        place = F.struct(*_ROW, "first", F.lit(1).alias("count"))
+        single = windows.groupBy(F.col("one").alias("anchor"), F.col("two").alias("digest")).agg(F.min(place).alias("lead"), F.max("most").alias("most"))
+        single = materialise(single.where("lead.doc_id < most"), "hot-contents")
+        owned = _through_shards(docs, single, length).select(F.col("anchor").alias("one"), F.col("digest").alias("two"), "owner")
+        back = windows.join(broadcast_if(owned), ["one", "two"]).where("owner < most")
+        known = known.unionByName(back.select("anchor", "digest", "start", F.lit(1).alias("n"), "owner"))
+        known = materialise(known, "known")
+    met = there.join(broadcast_if(known), ["anchor", "digest"]).where("owner < doc_id")
+    return met.select(*_ROW, (F.col("first") + F.col("start")).alias("first"), F.col("n").alias("count"))
 
 
 def merged(runs: Column, length: int) -> Column:
