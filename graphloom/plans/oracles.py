@@ -143,7 +143,7 @@ v AS (SELECT 'service:n' || n_nationkey AS id, n_name AS name, r_name AS region,
 pairs AS (SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS a, (c_custkey % 40) * 7 % 25 AS b FROM customer),
 e AS (
   SELECT 'service:n' || a AS s, 'service:n' || b AS t, CASE WHEN (a + b) % 2 = 0 THEN 'calls' ELSE 'queries' END AS label
-  FROM pairs WHERE a <> b AND (a + 2 * b) % 3 = 0
+  FROM pairs WHERE a <> b
 ),
 w AS (SELECT e.* FROM e JOIN v x ON e.s = x.id JOIN v y ON e.t = y.id)
 """
@@ -186,10 +186,10 @@ SQL: dict[str, str] = {
     "interaction_edges": f"WITH {CONTRIBUTIONS} SELECT point_id, type, source_id, target_id FROM edges WHERE type NOT IN ('contains', 'exposes')",
     "unsupported_connection_keeps_nodes": f"""WITH {CONTRIBUTIONS} SELECT kind, type, count(*) AS n FROM contrib
         WHERE point_id IN (SELECT point_id FROM good WHERE ct = 'future_protocol') GROUP BY ALL""",
-    "self_loop_suppression": "SELECT 'node' AS kind, count(*) AS n FROM orders WHERE o_orderkey % 4 = 0",
+    "self_loop_suppression": "SELECT 'node' AS kind, count(*) AS n FROM orders",
     "datapoint_merge_conflict": """SELECT o_orderkey AS point_id, 'service:svc-' || (o_custkey % 5) AS element_id,
         CASE WHEN '"v' || (o_orderkey % 13) || '"' < '"v' || (o_custkey % 11) || '"' THEN 'v' || (o_orderkey % 13) ELSE 'v' || (o_custkey % 11) END AS version
-        FROM orders WHERE o_orderkey % 4 = 0""",
+        FROM orders""",
     "discovery_entities": f"""WITH {DISCOVERED} SELECT point_id, element_id,
         'spanmetrics:' || sha256('{{"source":"semconv.graph.discovery.calls","element_id":"' || element_id || '","attributes":' || attributes || '}}') AS contributor_id FROM n""",
     "discovery_edges": f"""WITH {DISCOVERED}
