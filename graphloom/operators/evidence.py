@@ -203,17 +203,21 @@ def discoveries(points: DataFrame, registry: Registry | None = None, types: list
 
 
 def parse(points: DataFrame, registry: Registry | None = None, types: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(contributions, rejections)``.  An unsupported connection type is a rejection, yet the point's nodes count."""
-    r = registry or default()
+    """``(contributions, rejections)``."""
     marked = classify(points)
-    contributions = interactions(marked, r, types).unionByName(discoveries(marked, r, types))
+    return interactions(marked, registry, types).unionByName(discoveries(marked, registry, types)), rejections(marked, registry)
+
+
+def rejections(marked: DataFrame, registry: Registry | None = None) -> DataFrame:
+    """What is refused of classified points, a metric once.  An unsupported connection type is a rejection, yet the point's nodes count."""
+    r = registry or default()
     metric = F.col("reason").isin("invalid_servicegraph_metric_type", "invalid_servicegraph_temporality")
     refused = marked.where("reason IS NOT NULL").select("reason", F.when(metric, F.col("metric_id")).otherwise(F.col("point_id")).alias("of"), F.lit("").alias("detail"), metric.alias("whole"))
     once = refused.where("whole").dropDuplicates(["reason", "of"]).unionByName(refused.where("NOT whole")).drop("whole")
     kind = connection_type(F.col("attributes"))
     odd = marked.where(F.col("reason").isNull() & (F.col("metric_name") == INTERACTION) & ~kind.isin(r.connection_types("service_graph")))
     odd = odd.select(F.lit("unsupported_servicegraph_connection_type").alias("reason"), F.col("point_id").alias("of"), F.left(kind, F.lit(512)).alias("detail"))
-    return contributions, once.unionByName(odd)
+    return once.unionByName(odd)
 
 
 def rejection_counts(rejections: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def interaction_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         server_http__request__method=text(method),
         server_http__route=text(F.concat(F.lit("/part/"), F.col("l_partkey") % 5)),
     )
-    return line.select(
+    points = line.select(
         "point_id",
         F.col("point_id").alias("metric_id"),
         F.when(point % 13 == 0, "other_metric").otherwise(INTERACTION).alias("metric_name"),
@@ -60,6 +60,8 @@ def interaction_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         nanos("l_shipdate").alias("observed_ns"),
         a.alias("attributes"),
     )
+    # The join's output is cut into few partitions by its bytes, but what follows costs CPU time.
+    return points.repartition(4 * spark.sparkContext.defaultParallelism)
 
 
 def discovery_points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,9 +18,6 @@ from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Types that the interaction fixture can have; extraction of others would only cost time.
-TYPES = ["app.endpoint", "service", "service.namespace"]
-DISCOVERED = ["etl.part.run", "etl.pipeline", "etl.run", "service", "transaction"]
 #: The instant of expiry queries (2000-01-01 UTC), and times to live in seconds.
 AS_OF, DAY = 946_684_800_000_000_000, 86_400
 TTL = {"service": 600 * DAY, "app.endpoint": 300 * DAY, "contains": 200 * DAY, "queries": 900 * DAY}
@@ -35,8 +32,27 @@ def _marked(spark: SparkSession, d: str) -> DataFrame:
     return ev.classify(fx.interaction_points(spark, d))
 
 
+_plans: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _planned(spark: SparkSession, d: str, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
+    """The plan made once per application and folder: that of a whole registry has thousands of expressions.  No rows are kept."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _plans:
+        _plans[key] = plan()
+    return _plans[key]
+
+
 def _contributions(spark: SparkSession, d: str) -> DataFrame:
-    return ev.interactions(_marked(spark, d), types=TYPES)
+    return _planned(spark, d, "interactions", lambda: ev.interactions(_marked(spark, d)))
+
+
+def _shared(spark: SparkSession, d: str) -> DataFrame:
+    return _planned(spark, d, "shared", lambda: ev.interactions(ev.classify(fx.shared_points(spark, d))))
+
+
+def _discovered(spark: SparkSession, d: str) -> DataFrame:
+    return _planned(spark, d, "discoveries", lambda: ev.discoveries(ev.classify(fx.discovery_points(spark, d))))
 
 
 def _accepted(spark: SparkSession, d: str) -> DataFrame:
@@ -51,7 +67,7 @@ def evidence_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def evidence_rejections(spark: SparkSession, d: str) -> DataFrame:
-    return ev.parse(fx.interaction_points(spark, d), types=TYPES)[1]
+    return ev.rejections(_marked(spark, d))
 
 
 @query
@@ -108,38 +124,38 @@ def interaction_edges(spark: SparkSession, d: str) -> DataFrame:
 @query
 def unsupported_connection_keeps_nodes(spark: SparkSession, d: str) -> DataFrame:
     rows = _accepted(spark, d).where(ev.connection_type(F.col("attributes")) == "future_protocol")
-    return ev.interactions(rows, types=TYPES).groupBy("kind", "type").agg(F.count(F.lit(1)).alias("n"))
+    return ev.interactions(rows).groupBy("kind", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def self_loop_suppression(spark: SparkSession, d: str) -> DataFrame:
-    rows = ev.interactions(ev.classify(fx.shared_points(spark, d)), types=TYPES)
+    rows = _shared(spark, d)
     return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def datapoint_merge_conflict(spark: SparkSession, d: str) -> DataFrame:
-    rows = ev.interactions(ev.classify(fx.shared_points(spark, d)), types=TYPES)
+    rows = _shared(spark, d)
     return rows.select("point_id", "element_id", F.try_element_at("attributes", F.lit("service.version"))["v"].alias("version"))
 
 
 @query
 def discovery_entities(spark: SparkSession, d: str) -> DataFrame:
-    rows = ev.discoveries(ev.classify(fx.discovery_points(spark, d)), types=DISCOVERED)
+    rows = _discovered(spark, d)
     return rows.where("kind = 'node'").select("point_id", "element_id", "contributor_id")
 
 
 @query
 def discovery_edges(spark: SparkSession, d: str) -> DataFrame:
-    rows = ev.discoveries(ev.classify(fx.discovery_points(spark, d)), types=DISCOVERED)
+    rows = _discovered(spark, d)
     return rows.where("kind = 'edge'").select("point_id", "type", "source_id", "target_id")
 
 
 @query
 def enum_coercion(spark: SparkSession, d: str) -> DataFrame:
     """Span kinds: of events with one that isn't a member, only the transaction is missing."""
-    rows = ev.discoveries(ev.classify(fx.discovery_points(spark, d)), types=["service", "transaction"])
-    return rows.where("kind = 'node'").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    rows = _discovered(spark, d)
+    return rows.where("type IN ('service', 'transaction')").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _resources(spark: SparkSession, d: str) -> DataFrame:
@@ -160,8 +176,7 @@ def _resources(spark: SparkSession, d: str) -> DataFrame:
 @query
 def extract_valid_skips_invalid(spark: SparkSession, d: str) -> DataFrame:
     """A pod whose name is no string is left out; its node, cluster and process stay."""
-    types = ["k8s.cluster", "k8s.node", "k8s.pod", "process"]
-    rows = _resources(spark, d).select("p_partkey", F.explode(ev.extract_entities(F.col("attributes"), "service_graph", types=types)).alias("e"))
+    rows = _resources(spark, d).select("p_partkey", F.explode(ev.extract_entities(F.col("attributes"), "service_graph")).alias("e"))
     return rows.select("p_partkey", F.col("e.id").alias("element_id"))
 
 
@@ -262,8 +277,12 @@ def change_suppression(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------------------ projection
 def _events(spark: SparkSession, d: str) -> DataFrame:
-    """All upserts as of 1997, then what happened by 2000."""
-    rows = lc.deadlines(lc.latest(_contributions(spark, d)), 0, 400 * DAY, TTL)
+    """All upserts as of 1997, then what happened by 2000.  Kept, as are the observations they are made of: both are read again and again."""
+    return _planned(spark, d, "events", lambda: _all_events(spark, d).persist())
+
+
+def _all_events(spark: SparkSession, d: str) -> DataFrame:
+    rows = lc.deadlines(lc.latest(_contributions(spark, d)), 0, 400 * DAY, TTL).persist()
     first = lc.upserts(lc.merge_attributes(rows)).withColumn("seq", F.lit(1))
     live, lost = lc.expire_as_of(rows, AS_OF)
     second = lc.upserts(lc.merge_attributes(live)).withColumn("seq", F.lit(2))

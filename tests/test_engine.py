@@ -74,6 +74,23 @@ def test_bad_points_are_refused(spark):
     }
 
 
+def test_metrics_without_points_are_refused_once(spark):
+    request = otlp.message()()
+    metrics = request.resource_metrics.add().scope_metrics.add().metrics
+    for fill in (lambda m: None, lambda m: m.gauge.SetInParent(), lambda m: setattr(m.sum, "aggregation_temporality", 2), lambda m: setattr(m.sum, "aggregation_temporality", 1)):
+        m = metrics.add(name=ev.INTERACTION)
+        fill(m)
+    points, bad = otlp.decode(spark.createDataFrame([(5, bytearray(request.SerializeToString()))], "payload_id long, value binary"))
+    got = ev.rejections(ev.classify(points)).collect()
+    assert sorted(r.reason for r in got) == ["invalid_servicegraph_metric_type"] * 2 + ["invalid_servicegraph_temporality"] and not bad.count()
+
+
+def test_doubles_as_the_jvm_writes_them(spark):
+    values = [0.0, -0.0, 1.5, 100.0, 1e7, 1e16, 1.25e-5, 123456789.0, -2.5e-300, 9999999.0, 0.001, float("nan"), float("-inf")]
+    want = [r.v for r in spark.createDataFrame([(x,) for x in values], "x double").selectExpr("CAST(x AS STRING) AS v").collect()]
+    assert [otlp.double_text(x) for x in values] == want
+
+
 def test_all_entity_types_plan(spark):
     a = fx.attributes(service__name=fx.text("s"), service__criticality=fx.text("odd"), process__pid=fx.integer(F.lit(7)), process__creation__time=fx.text("t"), k8s__namespace__name=fx.text("n"), k8s__namespace__label__x=fx.text("y"))
     found = one(spark, ev.extract_entities(a, "service_graph").alias("e")).e
