@@ -7,9 +7,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-from dataclasses import dataclass, replace
+from collections.abc import Mapping, MutableMapping
+from dataclasses import dataclass, field, replace
 
 NS = 1_000_000_000
+#: A time after all others.
+FAR = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -99,17 +102,62 @@ class Snapshot:
 
 @dataclass
 class Element:
-    """State of one element: its contributors and the payload last published."""
-
-    contributors: dict[str, Snapshot]
-    published: str | None = None
+    """State of one element: its contributors, the payload last published, and an index of attribute winners.
 
+    The index (``shape``, ``owners``, ``values``) spares a refresh the other
+    contributors: it reads owners of the attributes it carries and no one else.
+    The two ``due`` times are lower bounds of the contributors' deadlines.
+    """
 
-def merged(contributors: dict[str, Snapshot]) -> dict[str, str]:
-    """Each attribute from the newest observation that has it, ties to the smallest contributor."""
+    contributors: MutableMapping[str, Snapshot]
+    published: str | None = None
+    shape: tuple | None = None
+    owners: dict[str, str] = field(default_factory=dict)
+    values: dict[str, str] = field(default_factory=dict)
+    event_due_ns: int = FAR
+    processing_due_ms: int = FAR
+
+    def __post_init__(self) -> None:
+        if self.shape is None and self.contributors:
+            self.reindex()
+
+    def reindex(self) -> None:
+        """The index from all contributors; needed only when an owner no longer has what it owned."""
+        held = list(self.contributors.items())
+        self.owners, self.values, self.shape = {}, {}, held[0][1].observation.shape if held else None
+        for k, s in sorted(held, key=lambda x: _rank(x[1].observation)):
+            for name, value in s.observation.attributes:
+                if self.owners.setdefault(name, k) == k:
+                    self.values[name] = value
+        self.event_due_ns = min((s.event_deadline_ns for _, s in held), default=FAR)
+        self.processing_due_ms = min((s.processing_deadline_ms for _, s in held), default=FAR)
+
+    def put(self, known: Snapshot | None, s: Snapshot) -> None:
+        """Take in a contributor's newer snapshot in place of the one ``known``."""
+        o = s.observation
+        self.contributors[o.contributor_id] = s
+        self.shape = o.shape
+        has = dict(o.attributes)
+        if known and any(self.owners.get(name) == o.contributor_id and name not in has for name, _ in known.observation.attributes):
+            self.reindex()
+            return
+        for name, value in o.attributes:
+            owner = self.owners.get(name)
+            if owner in (None, o.contributor_id) or _rank(o) < _rank(self.contributors[owner].observation):
+                self.owners[name], self.values[name] = o.contributor_id, value
+        self.event_due_ns = min(self.event_due_ns, s.event_deadline_ns)
+        self.processing_due_ms = min(self.processing_due_ms, s.processing_deadline_ms)
+
+
+def _rank(o: Observation) -> tuple:
+    """The least wins an attribute: the newest observation, ties to the smallest contributor."""
+    return -o.observed_ns, o.contributor_id
+
+
+def merged(contributors: Mapping[str, Snapshot]) -> dict[str, str]:
+    """Each attribute from the newest observation that has it, ties to the smallest contributor: what the index has to equal."""
     out: dict[str, str] = {}
-    rank = lambda s: (-s.observation.observed_ns, s.observation.contributor_id)
-    for s in sorted(contributors.values(), key=rank):
+    for s in sorted(contributors.values(), key=lambda s: _rank(s.observation)):
         for name, value in s.observation.attributes:
             out.setdefault(name, value)
     return dict(sorted(out.items()))
@@ -158,41 +206,39 @@ class Lifecycle:
         known = e.contributors.get(o.contributor_id)
         if known and o.observed_ns < known.observation.observed_ns:
             return None
-        for s in e.contributors.values():
-            if s.observation.shape != o.shape:
-                raise IdentityConflict(o.element_id)
-            break
+        if e.shape and e.shape != o.shape:
+            raise IdentityConflict(o.element_id)
         seconds = self.ttl.seconds(o)
-        e.contributors[o.contributor_id] = Snapshot(o, max(o.observed_ns, watermark_ns) + seconds * NS, now_ms + 1000 * seconds)
-        return self._publish(e, o.observed_ns)
+        e.put(known, Snapshot(o, max(o.observed_ns, watermark_ns) + seconds * NS, now_ms + 1000 * seconds))
+        return self._publish(e, o.element_id, o.observed_ns)
 
     def expire(self, e: Element, watermark_ns: int, now_ms: int) -> Event | None:
         """Drop contributors that either clock has passed; an upsert if that changes the element, a delete if none is left."""
-        gone = [k for k, s in e.contributors.items() if s.event_deadline_ns <= watermark_ns or s.processing_deadline_ms <= now_ms]
-        if not gone:
+        if e.event_due_ns > watermark_ns and e.processing_due_ms > now_ms:
             return None
-        at = max(e.contributors[k].event_deadline_ns for k in gone)
-        last = e.contributors[gone[0]].observation
+        gone = {k: s for k, s in e.contributors.items() if s.event_deadline_ns <= watermark_ns or s.processing_deadline_ms <= now_ms}
         for k in gone:
             del e.contributors[k]
-        if e.contributors:
-            return self._publish(e, at)
+        e.reindex()
+        if not gone:
+            return None
+        at = max(s.event_deadline_ns for s in gone.values())
+        element_id = next(iter(gone.values())).observation.element_id
+        if e.shape:
+            return self._publish(e, element_id, at)
         e.published = None
-        return Event("delete", last.element_id, at, None, None, None)
+        return Event("delete", element_id, at, None, None, None)
 
-    def _publish(self, e: Element, at: int) -> Event | None:
-        attributes = merged(e.contributors)
-        o = next(iter(e.contributors.values())).observation
-        hash_ = payload_hash(o, attributes)
+    def _publish(self, e: Element, element_id: str, at: int) -> Event | None:
+        kind, type_, source, target = e.shape
+        o = Observation(element_id, "", at, kind, type_, source, target, ())
+        hash_ = payload_hash(o, e.values)
         if hash_ == e.published:
             return None
         e.published = hash_
-        return Event("upsert", o.element_id, at, hash_, o, attributes)
+        return Event("upsert", element_id, at, hash_, o, dict(sorted(e.values.items())))
 
     def wake_at(self, e: Element, watermark_ns: int, now_ms: int) -> int:
-        """Next whole second (ms) at which a contributor may expire on either clock."""
-        due = []
-        for s in e.contributors.values():
-            ahead = -(-(s.event_deadline_ns - watermark_ns) // 1_000_000)
-            due += [s.processing_deadline_ms, now_ms + max(1000, ahead)]
-        return -(-min(due) // 1000) * 1000
+        """Next whole second (ms) at which a contributor may expire on either clock; perhaps too early, never too late."""
+        ahead = -(-(e.event_due_ns - watermark_ns) // 1_000_000)
+        return -(-min(e.processing_due_ms, now_ms + max(1000, ahead)) // 1000) * 1000

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, MutableMapping
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -92,8 +92,37 @@ class CoalesceProcessor(StatefulProcessor):
         return iter([_row(sent)] if sent else ())
 
 
+class _Contributors(MutableMapping):
+    """Snapshots by contributor, read from a map state one by one and only when asked for."""
+
+    def __init__(self, state: object) -> None:
+        self.state, self.known = state, {}
+
+    def __getitem__(self, k: str) -> Snapshot:
+        if k not in self.known:
+            if not self.state.containsKey((k,)):
+                raise KeyError(k)
+            newest, *due = self.state.getValue((k,))
+            self.known[k] = Snapshot(_unpack(newest), *due)
+        return self.known[k]
+
+    def __setitem__(self, k: str, s: Snapshot) -> None:
+        self.known[k] = s
+        self.state.updateValue((k,), (_pack(s.observation), s.event_deadline_ns, s.processing_deadline_ms))
+
+    def __delitem__(self, k: str) -> None:
+        self.known.pop(k, None)
+        self.state.removeKey((k,))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([k[0] for k in self.state.keys()])
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self.state.keys())
+
+
 class LifecycleProcessor(StatefulProcessor):
-    """Contributors of an element in a map state, one processing-time timer per element.
+    """Contributors of an element in a map state, its index in a value state, one processing-time timer per element.
 
     Runs in ``ProcessingTime`` mode so that late rows are kept; event deadlines
     are compared with the watermark whenever the element is looked at.
@@ -105,27 +134,23 @@ class LifecycleProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.contributors = handle.getMapState("contributors", "contributor string", "newest string, event_ns long, processing_ms long")
-        self.published = handle.getValueState("published", "hash string")
+        self.index = handle.getValueState("index", "index string")
 
     def _load(self) -> Element:
-        held = {k[0]: Snapshot(_unpack(v[0]), v[1], v[2]) for k, v in self.contributors.iterator()}
-        return Element(held, self.published.get()[0] if self.published.exists() else None)
-
-    def _save(self, before: dict, e: Element, times: object) -> None:
-        for k in before.keys() - e.contributors.keys():
-            self.contributors.removeKey((k,))
-        for k, s in e.contributors.items():
-            if before.get(k) != s:
-                self.contributors.updateValue((k,), (_pack(s.observation), s.event_deadline_ns, s.processing_deadline_ms))
-        if e.published:
-            self.published.update((e.published,))
-        else:
-            self.published.clear()
+        held = _Contributors(self.contributors)
+        if not self.index.exists():
+            return Element(held, shape=())
+        published, shape, *rest = json.loads(self.index.get()[0])
+        return Element(held, published, tuple(shape), *rest)
+
+    def _save(self, e: Element, times: object) -> None:
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        if e.contributors:
-            now = times.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer(self.rules.wake_at(e, self._watermark(times), now))
+        if not e.shape:
+            self.index.clear()
+            return
+        self.index.update((json.dumps([e.published, e.shape, e.owners, e.values, e.event_due_ns, e.processing_due_ms]),))
+        self.handle.registerTimer(self.rules.wake_at(e, self._watermark(times), times.getCurrentProcessingTimeInMs()))
 
     @staticmethod
     def _watermark(times: object) -> int:
@@ -143,17 +168,15 @@ class LifecycleProcessor(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
         now, watermark = timerValues.getCurrentProcessingTimeInMs(), self._watermark(timerValues)
         e = self._load()
-        before = dict(e.contributors)
         found = [x for r in rows if (x := self.rules.observe(e, _read(r), watermark, now))]
-        self._save(before, e, timerValues)
+        self._save(e, timerValues)
         return iter([self._event(x, now) for x in found])
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
         e = self._load()
-        before = dict(e.contributors)
         x = self.rules.expire(e, self._watermark(timerValues), now)
-        self._save(before, e, timerValues)
+        self._save(e, timerValues)
         return iter([self._event(x, now)] if x else ())
 
 
