@@ -52,15 +52,16 @@ def edge_id(source: Column, type_: Column, target: Column) -> Column:
 
 def interaction_contributor(client: Column, server: Column, connection: Column, dimensions: Column) -> Column:
     parts = (("client", js(client)), ("server", js(server)), ("connection_type", js(connection)), ("dimensions", attributes_json(dimensions)))
-    return sha256(_object(parts))
+    return sha256(json_object(parts))
 
 
 def discovery_contributor(source: str, element_id: Column, attributes: Column) -> Column:
     parts = (("source", js(F.lit(source))), ("element_id", js(element_id)), ("attributes", attributes_json(attributes)))
-    return F.concat(F.lit("spanmetrics:"), sha256(_object(parts)))
+    return F.concat(F.lit("spanmetrics:"), sha256(json_object(parts)))
 
 
-def _object(parts: tuple) -> Column:
+def json_object(parts: tuple) -> Column:
+    """JSON object of names and JSON texts."""
     pieces: list[Column] = []
     for i, (name, value) in enumerate(parts):
         pieces += [F.lit(("{" if not i else ",") + f'"{name}":'), value]
@@ -68,7 +69,7 @@ def _object(parts: tuple) -> Column:
 
 
 def element_json(kind: Column, id_: Column, type_: Column, attributes: Column, source: Column, target: Column) -> Column:
-    node = _object((("kind", js(kind)), ("id", js(id_)), ("type", js(type_)), ("attributes", attributes_json(attributes))))
+    node = json_object((("kind", js(kind)), ("id", js(id_)), ("type", js(type_)), ("attributes", attributes_json(attributes))))
     ends = F.concat(F.lit(',"source_id":'), js(source), F.lit(',"target_id":'), js(target), F.lit("}"))
     return F.when(kind == "node", node).otherwise(F.concat(F.substring(node, F.lit(1), F.length(node) - 1), ends))
 
@@ -81,7 +82,7 @@ def event_id(operation: Column, element_id: Column, observed: Column, hash_: Col
     """``hash_`` is null for a delete."""
     shown = F.coalesce(js(hash_), F.lit("null"))
     shown = F.when(hash_.isNull(), F.lit("null")).otherwise(shown)
-    return sha256(_object((("operation", js(operation)), ("element_id", js(element_id)), ("observed_at_unix_nano", observed.cast("string")), ("payload_hash", shown))))
+    return sha256(json_object((("operation", js(operation)), ("element_id", js(element_id)), ("observed_at_unix_nano", observed.cast("string")), ("payload_hash", shown))))
 
 
 def document_key(element_id: Column) -> Column:

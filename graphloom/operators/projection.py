@@ -9,11 +9,6 @@ from pyspark.sql import types as T
 from ..functions import ids
 from ..registry import Registry, default
 
-EVENT = (
-    "schema_version string, event_id string, event_type string, element_id string, observed_at_unix_nano decimal(21,0), "
-    "emitted_at_unix_ms long, operation string, payload_hash string, "
-    f"element struct<kind: string, id: string, type: string, attributes: {ids.ATTRIBUTES}, source_id: string, target_id: string>"
-)
 _ENVELOPE = ("schema_version", "event_id", "payload_hash", "observed_at_unix_nano")
 
 
@@ -27,6 +22,10 @@ def violations(events: DataFrame, registry: Registry | None = None) -> DataFrame
     edge = F.col("kind") == "edge"
     ends = ids.type_of_id(F.col("source_id")).isin(*r.graph_types()) & ids.type_of_id(F.col("target_id")).isin(*r.graph_types())
     upsert = F.col("operation") == "upsert"
+    metrics = F.map_contains_key("attributes", "metrics")
+    if "metrics" in events.columns:
+        metrics = metrics | F.col("metrics")
+    nodes = F.col("element_id").startswith("edge:") | ids.type_of_id(F.col("element_id")).isin(*r.graph_types())
     reason = (
         F.when(F.coalesce(F.col("schema_version") != "3.0", F.lit(True)), "schema version")
         .when(F.coalesce(F.col("event_type") != "graph_element_state_changed", F.lit(True)), "event type")
@@ -36,11 +35,17 @@ def violations(events: DataFrame, registry: Registry | None = None) -> DataFrame
         .when(upsert & ~edge & ~F.coalesce(F.col("type").isin(*r.graph_types()), F.lit(False)), "vertex type")
         .when(upsert & edge & ~F.coalesce(F.col("type").isin(*r.edge_types()), F.lit(False)), "edge type")
         .when(upsert & edge & ~F.coalesce(ends, F.lit(False)), "endpoints")
-        .when(upsert & F.coalesce(F.map_contains_key("attributes", "metrics"), F.lit(False)), "metrics")
+        .when(upsert & F.coalesce(metrics, F.lit(False)), "metrics")
+        .when(~upsert & ~nodes, "type of a deleted node")
     )
     return events.withColumn("violation", reason).where("violation IS NOT NULL")
 
 
+def refuse_violations(events: DataFrame, registry: Registry | None = None) -> None:
+    if bad := violations(events, registry).select("element_id", "violation").limit(1).collect():
+        raise ContractError(f"{bad[0]['element_id']}: {bad[0]['violation']}")
+
+
 def latest_per_element(events: DataFrame, order: str = "seq") -> DataFrame:
     """The last event of each element in log order."""
     rest = [c for c in events.columns if c != "element_id"]
@@ -78,8 +83,7 @@ def apply_batch(snapshot: DataFrame | None, events: DataFrame, registry: Registr
 
     Any event that breaks the contract fails the batch.
     """
-    if bad := violations(events, registry).select("element_id", "violation").limit(1).collect():
-        raise ContractError(f"{bad[0]['element_id']}: {bad[0]['violation']}")
+    refuse_violations(events, registry)
     last = latest_per_element(events, order)
     fresh = last.where(F.col("operation") == "upsert")
     if snapshot is None:

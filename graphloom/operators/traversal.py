@@ -3,7 +3,8 @@
 ``GraphClient(vertices, edges).query(lambda g: g.V().out("calls"))`` returns
 elements; steps that transform are available on the source itself (``client.g``).
 A traverser is a row: ``id``, ``label``, ``source_id``, ``target_id``,
-``attributes``, the ``path`` of ids, and ``came_from`` (the vertex an edge was left from).
+``attributes``, the ``path`` of ids, ``came_from`` (the vertex an edge was left from)
+and ``marks``, the ids that ``as_`` gave a name to.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -39,7 +39,8 @@ class ClosedClientError(RuntimeError):
 # ---- fixed values: steps that mutate, refused by name
 MUTATING = frozenset({"addV", "addE", "drop", "mergeV", "mergeE", "property"})
 # ---- end of fixed values
-_ROW = ("id", "label", "source_id", "target_id", "attributes", "path", "came_from")
+_ROW = ("id", "label", "source_id", "target_id", "attributes", "path", "came_from", "marks")
+_NO_MARKS = "cast(map() as map<string, string>)"
 
 
 class P:
@@ -103,8 +104,8 @@ __ = _Anonymous()
 class Traversal:
     """A traversal so far; each step returns a new one."""
 
-    def __init__(self, vertices: DataFrame, edges: DataFrame, rows: DataFrame | None = None, kind: str | None = None, steps: tuple[str, ...] = (), last: tuple | None = None) -> None:
-        self._v, self._e, self.rows, self.kind, self.steps, self._last = vertices, edges, rows, kind, steps, last
+    def __init__(self, vertices: DataFrame, edges: DataFrame, rows: DataFrame | None = None, kind: str | None = None, steps: tuple[str, ...] = (), last: tuple | None = None, order: tuple = ()) -> None:
+        self._v, self._e, self.rows, self.kind, self.steps, self._last, self._order = vertices, edges, rows, kind, steps, last, order
 
     def __getattr__(self, name: str) -> object:
         if name in MUTATING:
@@ -113,8 +114,8 @@ class Traversal:
             raise AttributeError(name)
         raise UnsupportedStepError(f"step {len(self.steps) + 1}, {name}: not supported")
 
-    def _next(self, step: str, rows: DataFrame, kind: str | None = None, last: tuple | None = None) -> Traversal:
-        return Traversal(self._v, self._e, rows, kind or self.kind, (*self.steps, step), last)
+    def _next(self, step: str, rows: DataFrame, kind: str | None = None, last: tuple | None = None, order: tuple = ()) -> Traversal:
+        return Traversal(self._v, self._e, rows, kind or self.kind, (*self.steps, step), last, order)
 
     def _need(self, step: str, kind: str) -> DataFrame:
         if self.rows is None:
@@ -128,7 +129,7 @@ class Traversal:
         if self.rows is not None:
             raise StepKindError(f"{step}: only at the start")
         rows = table.where(F.col("id").isin(*ids)) if ids else table
-        rows = rows.select("id", "label", "source_id", "target_id", "attributes", F.array("id").alias("path"), F.lit(None).cast("string").alias("came_from"))
+        rows = rows.select("id", "label", "source_id", "target_id", "attributes", F.array("id").alias("path"), F.lit(None).cast("string").alias("came_from"), F.expr(_NO_MARKS).alias("marks"))
         return self._next(step, rows, "vertex" if step == "V" else "edge")
 
     def V(self, *ids: str) -> Traversal:
@@ -139,10 +140,10 @@ class Traversal:
 
     # ---- navigation
     def _edges(self, step: str, near: str, labels: tuple) -> DataFrame:
-        t = self._need(step, "vertex").select(F.col("id").alias("_at"), F.col("path").alias("_path"))
+        t = self._need(step, "vertex").select(F.col("id").alias("_at"), F.col("path").alias("_path"), "marks")
         e = self._e.where(F.col("label").isin(*labels)) if labels else self._e
         joined = t.join(e, t["_at"] == e[near])
-        return joined.select("id", "label", "source_id", "target_id", "attributes", F.concat("_path", F.array("id")).alias("path"), F.col("_at").alias("came_from"))
+        return joined.select("id", "label", "source_id", "target_id", "attributes", F.concat("_path", F.array("id")).alias("path"), F.col("_at").alias("came_from"), "marks")
 
     def outE(self, *labels: str) -> Traversal:
         return self._next("outE", self._edges("outE", "source_id", labels), "edge")
@@ -155,9 +156,9 @@ class Traversal:
 
     def _ends(self, step: str, to: Column, keep_edge: bool = True) -> DataFrame:
         path = F.col("path") if keep_edge else F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))
-        t = self._need(step, "edge").select(to.alias("_to"), path.alias("_path"))
+        t = self._need(step, "edge").select(to.alias("_to"), path.alias("_path"), "marks")
         joined = t.join(self._v, t["_to"] == self._v["id"])
-        return joined.select("id", "label", "source_id", "target_id", "attributes", F.concat("_path", F.array("id")).alias("path"), F.lit(None).cast("string").alias("came_from"))
+        return joined.select("id", "label", "source_id", "target_id", "attributes", F.concat("_path", F.array("id")).alias("path"), F.lit(None).cast("string").alias("came_from"), "marks")
 
     def outV(self) -> Traversal:
         return self._next("outV", self._ends("outV", F.col("source_id")), "vertex")
@@ -195,7 +196,7 @@ class Traversal:
     def _where(self, step: str, condition: Column) -> Traversal:
         if self.rows is None:
             raise StepKindError(f"{step}: a traversal starts with V or E")
-        return self._next(step, self.rows.where(condition))
+        return self._next(step, self.rows.where(condition), order=self._order)
 
     @staticmethod
     def _value(key: str) -> Column:
@@ -232,7 +233,7 @@ class Traversal:
     def _matching(self, sub: _Anonymous) -> DataFrame:
         """Ids of traversers from which a sub-traversal finds something."""
         seeds = self.rows.select("id").distinct().join(self._v if self.kind == "vertex" else self._e, "id")
-        start = seeds.select("id", "label", "source_id", "target_id", "attributes", F.array("id").alias("path"), F.lit(None).cast("string").alias("came_from"))
+        start = seeds.select("id", "label", "source_id", "target_id", "attributes", F.array("id").alias("path"), F.lit(None).cast("string").alias("came_from"), F.expr(_NO_MARKS).alias("marks"))
         found = Traversal(self._v, self._e, start, self.kind, ("V",))._apply(sub._steps)
         return found.rows.select(F.get("path", 0).alias("id")).distinct()
 
@@ -260,37 +261,98 @@ class Traversal:
     def cyclicPath(self) -> Traversal:
         return self._where("cyclicPath", F.size(F.array_distinct("path")) < F.size("path"))
 
+    # ---- names
+    def as_(self, *names: str) -> Traversal:
+        """Names for the element a traverser is on; a name given again is that of the later element."""
+        if self.rows is None:
+            raise StepKindError("as: a traversal starts with V or E")
+        kept = F.map_filter("marks", lambda k, _: ~k.isin(*names))
+        own = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.col("id")] * len(names)))
+        return self._next("as", self.rows.withColumn("marks", F.map_concat(kept, own)), last=self._last, order=self._order)
+
+    def _at(self, name: str) -> Traversal:
+        """Traversers moved to the vertex of a name."""
+        t = self.rows.select(F.try_element_at("marks", F.lit(name)).alias("_at"), "path", "marks")
+        rows = t.join(self._v, t["_at"] == self._v["id"]).withColumn("came_from", F.lit(None).cast("string"))
+        return self._next("match", rows.select(*_ROW), "vertex")
+
+    def match(self, *patterns: _Anonymous) -> Traversal:
+        """Patterns ``__.as_("a").out("calls").as_("b")`` that hold together, their names bound in ``marks``.
+
+        The first pattern's first name is the element a traverser is on.  Each
+        other pattern starts from a name that is bound already; one that ends in a
+        bound name holds where it leads there.
+        """
+        self._need("match", "vertex")
+        split = []
+        for p in patterns:
+            steps = p._steps
+            if len(steps) < 2 or steps[0][0] != "as_" or len(steps[0][1]) != 1:
+                raise StepKindError("match: a pattern is as_(name), steps, and perhaps as_(name)")
+            end = steps[-1][1][0] if steps[-1][0] == "as_" else None
+            split.append((steps[0][1][0], steps[1:-1] if end else steps[1:], end))
+        if not split:
+            raise StepKindError("match: no pattern")
+        t, bound = self.as_(split[0][0]), {split[0][0]}
+        while split:
+            ready = next((x for x in split if x[0] in bound), None)
+            if ready is None:
+                raise StepKindError(f"match: nothing leads to {sorted({x[0] for x in split})}")
+            split.remove(ready)
+            start, steps, end = ready
+            if end is None:  # only has to find something
+                found = t._at(start)._matching(_Anonymous(steps)).select(F.col("id").alias("_found"))
+                rows = t.rows.join(found, F.try_element_at(t.rows["marks"], F.lit(start)) == found["_found"], "left_semi")
+                t = t._next("match", rows)
+                continue
+            t = t._at(start)._apply(steps)
+            t = t._where("match", F.col("id") == F.try_element_at("marks", F.lit(end))) if end in bound else t.as_(end)
+            bound.add(end)
+        return t._next("match", t.rows)
+
     # ---- order and number
     def dedup(self, key: str | None = None) -> Traversal:
         rows = self.rows.withColumn("_key", self._value(key) if key else F.col("id")).dropDuplicates(["_key"]).drop("_key")
         return self._next("dedup", rows, last=("dedup", self))
 
+    def _sorted(self, step: str, before: Traversal, keys: tuple, last: tuple) -> Traversal:
+        """``keys``: attribute (or ``id``, ``label``) and whether it descends; ids decide ties."""
+        return self._next(step, before.rows.orderBy(*self._sort((*keys, ("id", False)))), last=last, order=keys)
+
+    def _sort(self, keys: tuple, back: bool = False) -> list[Column]:
+        """Nulls come last, or in the order backwards first."""
+        column = lambda k: F.col(k) if k in ("id", "label") else self._value(k)
+        if back:
+            return [column(k).asc_nulls_first() if down else column(k).desc_nulls_first() for k, down in keys]
+        return [column(k).desc_nulls_last() if down else column(k).asc_nulls_last() for k, down in keys]
+
     def order(self, descending: bool = False) -> Traversal:
-        return self._next("order", self.rows.orderBy(F.col("id").desc() if descending else F.col("id")), last=("order", self))
+        return self._sorted("order", self, (("id", descending),), ("order", self, ()))
 
     def by(self, key: str, descending: bool = False) -> Traversal:
-        """Attribute (or ``id``, ``label``) for the order, dedup or shuffle before it."""
-        what, before = self._last or ("", self)
+        """Attribute (or ``id``, ``label``) for the order or dedup before it; of several for an order the first counts most."""
+        what, before, *keys = self._last or ("", self)
         if what == "dedup":
             return before.dedup(key)
         if what != "order":
             raise StepKindError(f"step {len(self.steps) + 1}, by: nothing before takes it")
-        c = F.col(key) if key in ("id", "label") else self._value(key)
-        return self._next("by", before.rows.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last(), "id"), last=self._last)
+        sort = (*keys[0], (key, descending))
+        return self._sorted("by", before, sort, ("order", before, sort))
 
     def limit(self, n: int) -> Traversal:
-        return self._next("limit", self.rows.limit(n))
+        return self._next("limit", self.rows.limit(n), order=self._order)
 
     def skip(self, n: int) -> Traversal:
-        return self._next("skip", self.rows.offset(n))
+        return self._next("skip", self.rows.offset(n), order=self._order)
 
     def range_(self, low: int, high: int) -> Traversal:
-        return self._next("range", self.rows.offset(low).limit(high - low) if high >= 0 else self.rows.offset(low))
+        return self._next("range", self.rows.offset(low).limit(high - low) if high >= 0 else self.rows.offset(low), order=self._order)
 
     def tail(self, n: int = 1) -> Traversal:
-        """The last ``n`` by id, or by the order before it."""
-        total = self.rows.count()
-        return self._next("tail", self.rows.offset(max(0, total - n)))
+        """The last ``n`` by id, or by the order before it; they come in that order."""
+        keys = (*self._order, ("id", False))
+        rows = self.rows.orderBy(*self._sort(keys, back=True)).limit(n)
+        return self._next("tail", rows.orderBy(*self._sort(keys)), order=self._order)
 
     def sample(self, n: int, seed: int = 7) -> Traversal:
         return self._next("sample", self.rows.orderBy(F.rand(seed)).limit(n))
@@ -302,11 +364,11 @@ class Traversal:
         return self._next("shuffle", self.rows.orderBy(F.rand(seed)))
 
     def identity(self) -> Traversal:
-        return self._next("identity", self.rows)
+        return self._next("identity", self.rows, order=self._order)
 
     def barrier(self) -> Traversal:
         """A traversal is evaluated set by set anyway."""
-        return self._next("barrier", self.rows)
+        return self._next("barrier", self.rows, order=self._order)
 
     # ---- transforming steps (not for typed queries): they end in plain DataFrames
     def id_(self) -> DataFrame:
@@ -325,6 +387,8 @@ class Traversal:
         rows = self.rows.select("id", F.explode("attributes").alias("key", "x")).select("id", "key", F.col("x.v").alias("value"))
         return rows.where(F.col("key").isin(*keys)) if keys else rows
 
+    value = values
+
     def key(self, *keys: str) -> DataFrame:
         return self.properties(*keys).select("key")
 
@@ -341,8 +405,9 @@ class Traversal:
         pick = lambda k: F.col(k) if k in ("id", "label") else self._value(k)
         return self.rows.select(*[pick(k).alias(name) for name, k in keys.items()])
 
-    def select(self, *keys: str) -> DataFrame:
-        return self.project(**{column: column for column in keys})
+    def select(self, *names: str) -> DataFrame:
+        """A column for each name that ``as_`` gave, with the element's id; null where a traverser has no such name."""
+        return self.rows.select(*[F.try_element_at("marks", F.lit(n)).alias(n) for n in names])
 
     def path(self) -> DataFrame:
         return self.rows.select("path")
@@ -448,8 +513,3 @@ class GraphClient:
             raise TraversalError("the callback has to return a traversal that starts with V or E")
         return found.elementMap()
 
-
-def rank_rows(rows: DataFrame, n: int) -> DataFrame:
-    """First ``n`` rows of each label by id."""
-    order = W.partitionBy("label").orderBy("id")
-    return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from .events import records
 
 
 class ConfigError(ValueError):
@@ -62,12 +63,13 @@ def evidence_stream(spark: SparkSession, servers: str, topic: str, security: Sec
     return reader.options(startingOffsets="earliest", **(security or Security()).options()).load().select("value")
 
 
-def event_records(events: DataFrame) -> DataFrame:
-    """Key (the element's id) and JSON value of events; nulls are written, a delete is a record."""
-    return events.select(F.col("element_id").cast("binary").alias("key"), F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))
+def event_stream(spark: SparkSession, servers: str, topic: str, security: Security | None = None) -> DataFrame:
+    """Records of graph events with the offset that orders an element's; for :func:`events.index_stream`."""
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    return reader.options(startingOffsets="earliest", **(security or Security()).options()).load().select("value", "offset")
 
 
 def event_sink(events: DataFrame, servers: str, topic: str, checkpoint: str, security: Security | None = None) -> object:
     """Start writing events, at least once."""
-    writer = event_records(events).writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    writer = records(events).writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
     return writer.options(checkpointLocation=checkpoint, **(security or Security()).options()).start()

@@ -132,21 +132,24 @@ class Element:
         self.event_due_ns = min((s.event_deadline_ns for _, s in held), default=FAR)
         self.processing_due_ms = min((s.processing_deadline_ms for _, s in held), default=FAR)
 
-    def put(self, known: Snapshot | None, s: Snapshot) -> None:
-        """Take in a contributor's newer snapshot in place of the one ``known``."""
+    def put(self, known: Snapshot | None, s: Snapshot) -> bool:
+        """Take in a contributor's newer snapshot in place of the one ``known``; whether the merged attributes may have changed."""
         o = s.observation
         self.contributors[o.contributor_id] = s
         self.shape = o.shape
         has = dict(o.attributes)
         if known and any(self.owners.get(name) == o.contributor_id and name not in has for name, _ in known.observation.attributes):
             self.reindex()
-            return
+            return True
+        changed = False
         for name, value in o.attributes:
             owner = self.owners.get(name)
             if owner in (None, o.contributor_id) or _rank(o) < _rank(self.contributors[owner].observation):
+                changed |= self.values.get(name) != value
                 self.owners[name], self.values[name] = o.contributor_id, value
         self.event_due_ns = min(self.event_due_ns, s.event_deadline_ns)
         self.processing_due_ms = min(self.processing_due_ms, s.processing_deadline_ms)
+        return changed
 
 
 def _rank(o: Observation) -> tuple:
@@ -209,7 +212,9 @@ class Lifecycle:
         if e.shape and e.shape != o.shape:
             raise IdentityConflict(o.element_id)
         seconds = self.ttl.seconds(o)
-        e.put(known, Snapshot(o, max(o.observed_ns, watermark_ns) + seconds * NS, now_ms + 1000 * seconds))
+        changed = e.put(known, Snapshot(o, max(o.observed_ns, watermark_ns) + seconds * NS, now_ms + 1000 * seconds))
+        if e.published and not changed:
+            return None
         return self._publish(e, o.element_id, o.observed_ns)
 
     def expire(self, e: Element, watermark_ns: int, now_ms: int) -> Event | None:
