@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import ids
@@ -13,14 +14,22 @@ _BODY = ("kind", "type", "source_id", "target_id", "attributes")
 _KEY = ("element_id", "contributor_id")
 
 
+def _by_arrival() -> WindowSpec:
+    return W.partitionBy(*_KEY).orderBy("point_id")
+
+
+def not_stale(contributions: DataFrame) -> DataFrame:
+    """Observations that are not older than what the same contributor of the element had sent before, in order of arrival (``point_id``)."""
+    newest = F.max("observed_ns").over(_by_arrival().rowsBetween(W.unboundedPreceding, -1))
+    return contributions.withColumn("_newest", newest).where("_newest IS NULL OR observed_ns >= _newest").drop("_newest")
+
+
 def coalesce_changes(contributions: DataFrame) -> DataFrame:
-    """The observations an unlimited refresh interval lets pass: in order of arrival (``point_id``), the first of an
-    (element, contributor) and each whose attributes changed; ones older than the newest so far are ignored."""
-    by_arrival = W.partitionBy(*_KEY).orderBy("point_id")
-    newest = F.max("observed_ns").over(by_arrival.rowsBetween(W.unboundedPreceding, -1))
-    live = contributions.withColumn("_newest", newest).where("_newest IS NULL OR observed_ns >= _newest").drop("_newest")
+    """The observations an unlimited refresh interval lets pass: in order of arrival, the first of an
+    (element, contributor) and each whose attributes changed; stale ones are ignored."""
+    live = not_stale(contributions)
     text = ids.attributes_json(F.col("attributes"))
-    before = F.lag("_text").over(by_arrival)
+    before = F.lag("_text").over(_by_arrival())
     return live.withColumn("_text", text).withColumn("_before", before).where("_before IS NULL OR _before <> _text").drop("_text", "_before")
 
 
@@ -57,6 +66,12 @@ def winners(snapshots: DataFrame) -> DataFrame:
     return won.select("element_id", "name", ids.literal(F.col("w.value")).alias("value"), F.col("w.contributor_id").alias("owner"))
 
 
+def fallbacks(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Attributes that another contributor owns once some snapshots are gone."""
+    was = winners(before).select("element_id", "name", F.col("owner").alias("was"))
+    return winners(after).join(was, ["element_id", "name"]).where("owner <> was")
+
+
 def ttl_seconds(default: int, overrides: dict[str, int]) -> Column:
     """A node's type's time to live; an edge's is never longer than its endpoints'."""
     of = F.lit(default)

@@ -41,6 +41,12 @@ def violations(events: DataFrame, registry: Registry | None = None) -> DataFrame
     return events.withColumn("violation", reason).where("violation IS NOT NULL")
 
 
+def removed(events: DataFrame, registry: Registry | None = None, order: str = "seq") -> DataFrame:
+    """Documents that the events delete; an edge's id doesn't tell its collection, which is null."""
+    gone = latest_per_element(events, order).where(F.col("operation") == "delete")
+    return gone.select("element_id", ids.document_key(F.col("element_id")).alias("_key"), _collection(ids.type_of_id(F.col("element_id")), registry or default()).alias("collection"))
+
+
 def refuse_violations(events: DataFrame, registry: Registry | None = None) -> None:
     if bad := violations(events, registry).select("element_id", "violation").limit(1).collect():
         raise ContractError(f"{bad[0]['element_id']}: {bad[0]['violation']}")

@@ -105,6 +105,7 @@ def _merged(source: str, name: str) -> str:
 _MERGED_LATEST = _merged("latest", "now_")
 _MERGED_LIVE = _merged("live", "then_")
 _UPSERT_ID = """sha256('{"operation":"upsert","element_id":"' || element_id || '","observed_at_unix_nano":' || observed_ns || ',"payload_hash":"' || payload_hash || '"}')"""
+_DELETE_ID = """sha256('{"operation":"delete","element_id":"' || element_id || '","observed_at_unix_nano":' || expired_ns || ',"payload_hash":null}')"""
 _CLIENTS = "SELECT * FROM nodes WHERE type = 'service' AND cardinality(a) = 2"
 _FINAL_STATE = """,
 final AS (
@@ -204,6 +205,32 @@ SQL: dict[str, str] = {
     "template_prefix_map": """SELECT p_partkey, '{"k8s.pod.label.brand":"' || p_brand || '","k8s.pod.name":"' || p_name || '","k8s.pod.uid":"pod-' || p_partkey || '"}' AS attributes
         FROM part WHERE p_partkey % 4 <> 0""",
     "contribution_latest": f"WITH {CONTRIBUTIONS} SELECT element_id, contributor_id, observed_ns, point_id FROM latest",
+    "stale_observation_filter": f"""WITH {CONTRIBUTIONS},
+        k AS (SELECT *, max(observed_ns) OVER (PARTITION BY element_id, contributor_id ORDER BY point_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM contrib)
+        SELECT kind, type, count(*) AS n, CAST(sum(observed_ns // 1000000000) AS BIGINT) AS seconds FROM k WHERE newest IS NULL OR observed_ns >= newest GROUP BY ALL""",
+    "attribute_fallback_after_expiry": f"""WITH {CONTRIBUTIONS}{_MERGED_LATEST}{_MERGED_LIVE}
+        SELECT b.element_id, b.name, '"' || b.value || '"' AS value, b.owner, a.owner AS was
+        FROM now__won a JOIN then__won b ON a.element_id = b.element_id AND a.name = b.name WHERE a.owner <> b.owner""",
+    "edge_endpoint_refs": f"""WITH {CONTRIBUTIONS},
+        e AS (SELECT DISTINCT type, replace(split_part(source_id, ':', 1), '.', '_') AS source, replace(split_part(target_id, ':', 1), '.', '_') AS target, source_id, target_id FROM latest WHERE kind = 'edge')
+        SELECT source, type AS semantic_type, target, count(DISTINCT source_id) AS sources, count(DISTINCT target_id) AS targets,
+          min(source || '/' || sha256(source_id)) AS first_from, max(target || '/' || sha256(target_id)) AS last_to FROM e GROUP BY ALL""",
+    "project_deletes": f"""WITH {CONTRIBUTIONS}{_FINAL_STATE}
+        SELECT element_id, sha256(element_id) AS _key, CASE WHEN element_id NOT LIKE 'edge:%' THEN replace(split_part(element_id, ':', 1), '.', '_') END AS collection
+        FROM final WHERE operation = 'delete'""",
+    "event_ids": f"""WITH {CONTRIBUTIONS}{_MERGED_LATEST}{_MERGED_LIVE}
+        SELECT 1 AS seq, {_UPSERT_ID} AS event_id, 'upsert' AS operation FROM now_ UNION ALL SELECT 2, {_UPSERT_ID}, 'upsert' FROM then_
+        UNION ALL SELECT 3, {_DELETE_ID}, 'delete' FROM lost WHERE n_left = 0""",
+    "event_records": f"""WITH {CONTRIBUTIONS}{_MERGED_LATEST}{_MERGED_LIVE}, u AS (FROM now_ UNION ALL FROM then_)
+        SELECT {_UPSERT_ID} AS event_id, element_id, 'upsert' AS operation, observed_ns AS observed_at_unix_nano, payload_hash, type, source_id, attributes FROM u
+        UNION ALL SELECT {_DELETE_ID}, element_id, 'delete', expired_ns, NULL, NULL, NULL, NULL FROM lost WHERE n_left = 0""",
+    "traverse_current_graph": f"""WITH {CONTRIBUTIONS}, e AS (SELECT DISTINCT type, source_id, target_id FROM latest WHERE kind = 'edge')
+        SELECT a.source_id AS namespace, b.source_id AS client, count(*) AS n FROM e a JOIN e b ON a.target_id = b.target_id
+        WHERE a.type = 'contains' AND b.type IN ('calls', 'queries') AND a.source_id LIKE 'service.namespace:%' GROUP BY ALL""",
+    "match_patterns": f"""WITH {GRAPH} SELECT x.s AS a, x.t AS b, y.t AS c FROM w x JOIN w y ON x.t = y.s JOIN w z ON y.t = z.s AND z.t = x.s
+        WHERE x.label = 'calls' AND y.label = 'queries'""",
+    "as_select": f"""WITH {GRAPH} SELECT s AS "from", 'edge:' || sha256('{{"source_id":"' || s || '","target_id":"' || t || '","type":"calls"}}') AS edge, t AS "to"
+        FROM w JOIN v ON s = v.id WHERE label = 'calls' AND region = 'ASIA'""",
     "coalesce_changes": f"""WITH {CONTRIBUTIONS}, c AS ({_CLIENTS}),
         k AS (SELECT *, max(observed_ns) OVER (PARTITION BY element_id ORDER BY point_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM c),
         f AS (SELECT *, lag(a['service.version']) OVER (PARTITION BY element_id ORDER BY point_id) AS before FROM k WHERE newest IS NULL OR observed_ns >= newest)

@@ -14,6 +14,7 @@ from ..operators import projection as pj
 from ..operators import traversal as tv
 from ..operators import upstream as up
 from ..registry import default
+from ..sources import events as evs
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,6 +207,11 @@ def contribution_latest(spark: SparkSession, d: str) -> DataFrame:
     return lc.latest(_contributions(spark, d)).select("element_id", "contributor_id", "observed_ns", "point_id")
 
 
+@query
+def stale_observation_filter(spark: SparkSession, d: str) -> DataFrame:
+    return lc.not_stale(_contributions(spark, d)).groupBy("kind", "type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr("observed_ns DIV 1000000000")).alias("seconds"))
+
+
 @query
 def coalesce_changes(spark: SparkSession, d: str) -> DataFrame:
     """Contributor: the client alone, so that its versions change."""
@@ -256,6 +262,12 @@ def partial_expiry(spark: SparkSession, d: str) -> DataFrame:
     return rest.select("element_id", F.col("expired_ns").alias("observed_ns"), lc.element_hash().alias("payload_hash"))
 
 
+@query
+def attribute_fallback_after_expiry(spark: SparkSession, d: str) -> DataFrame:
+    dated = _dated(spark, d)
+    return lc.fallbacks(dated, lc.expire_as_of(dated, AS_OF)[0])
+
+
 @query
 def delete_events(spark: SparkSession, d: str) -> DataFrame:
     return lc.deletes(lc.expire_as_of(_dated(spark, d), AS_OF)[1]).select("event_id", "element_id", "observed_at_unix_nano", "operation")
@@ -306,6 +318,31 @@ def project_edges(spark: SparkSession, d: str) -> DataFrame:
     return e.select("_key", "semantic_type", "_from", "_to")
 
 
+@query
+def edge_endpoint_refs(spark: SparkSession, d: str) -> DataFrame:
+    _, e = pj.project(_events(spark, d).where("seq = 1"))
+    return e.groupBy(F.substring_index("_from", "/", 1).alias("source"), "semantic_type", F.substring_index("_to", "/", 1).alias("target")).agg(
+        F.countDistinct("_from").alias("sources"), F.countDistinct("_to").alias("targets"), F.min("_from").alias("first_from"), F.max("_to").alias("last_to")
+    )
+
+
+@query
+def project_deletes(spark: SparkSession, d: str) -> DataFrame:
+    return pj.removed(_events(spark, d))
+
+
+@query
+def event_ids(spark: SparkSession, d: str) -> DataFrame:
+    return _events(spark, d).select("seq", "event_id", "operation")
+
+
+@query
+def event_records(spark: SparkSession, d: str) -> DataFrame:
+    """Events written as JSON records and decoded again."""
+    back = evs.decode(evs.records(_events(spark, d)).drop("key"))
+    return back.select("event_id", "element_id", "operation", "observed_at_unix_nano", "payload_hash", "type", "source_id", ids.attributes_json(F.col("attributes")).alias("attributes"))
+
+
 @query
 def dangling_edges(spark: SparkSession, d: str) -> DataFrame:
     return pj.dangling_edges(*pj.project(_events(spark, d))).select("element_id", "source_id", "target_id")
@@ -428,6 +465,25 @@ def sample_coin(spark: SparkSession, d: str) -> DataFrame:
     return _g(spark, d).V().coin(0.5).sample(5).rows.select("id")
 
 
+@query
+def traverse_current_graph(spark: SparkSession, d: str) -> DataFrame:
+    """On the engine's own graph: who calls or queries a service of which namespace, and how often by distinct edges."""
+    rows = lc.merge_attributes(lc.latest(_contributions(spark, d)))
+    g = tv.GraphClient(*tv.tables(rows)).g
+    pairs = g.V().hasLabel("service.namespace").as_("namespace").out("contains").in_("calls", "queries").as_("client").select("namespace", "client")
+    return pairs.groupBy("namespace", "client").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def match_patterns(spark: SparkSession, d: str) -> DataFrame:
+    return _g(spark, d).V().match(tv.__.as_("a").out("calls").as_("b"), tv.__.as_("b").out("queries").as_("c"), tv.__.as_("c").out().as_("a")).select("a", "b", "c")
+
+
+@query
+def as_select(spark: SparkSession, d: str) -> DataFrame:
+    return _g(spark, d).V().has("region", "ASIA").as_("from").outE("calls").as_("edge").inV().as_("to").select("from", "edge", "to")
+
+
 @query
 def multi_hop_reachability(spark: SparkSession, d: str) -> DataFrame:
     return tv.reachable(*fx.nation_graph(spark, d), ["service:n1"], 3)
