@@ -340,7 +340,8 @@ def event_ids(spark: SparkSession, d: str) -> DataFrame:
 def event_records(spark: SparkSession, d: str) -> DataFrame:
     """Events written as JSON records and decoded again."""
     back = evs.decode(evs.records(_events(spark, d)).drop("key"))
-    return back.select("event_id", "element_id", "operation", "observed_at_unix_nano", "payload_hash", "type", "source_id", ids.attributes_json(F.col("attributes")).alias("attributes"))
+    text = F.when(F.col("attributes").isNotNull(), ids.attributes_json(F.col("attributes")))
+    return back.select("event_id", "element_id", "operation", "observed_at_unix_nano", "payload_hash", "type", "source_id", text.alias("attributes"))
 
 
 @query
