@@ -14,6 +14,7 @@ import yaml
 
 SIGNALS = {"sg": "service_graph", "sm": "span_metrics"}
 SCALARS = ("str", "int", "num", "bool", "enum")
+# ---- fixed values: suffixes, names and columns that schemas and producers agree on
 TEMPLATE_SUFFIXES = (".label", ".annotation", ".selector")
 #: Dimensions a span-metrics producer always has.
 BUILT_IN_DIMENSIONS = frozenset({"collector.instance.id", "service.name", "span.kind", "span.name", "status.code"})
@@ -21,6 +22,7 @@ BUILT_IN_DIMENSIONS = frozenset({"collector.instance.id", "service.name", "span.
 RESERVED = frozenset(
     "_key _id _rev _from _to element_id semantic_type attributes source_id target_id schema_version event_id payload_hash".split()
 )
+# ---- end of fixed values
 
 
 class RegistryError(ValueError):

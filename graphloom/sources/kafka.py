@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .events import records
 
 
+# ---- fixed values: what brokers and clients agree on
+PROTOCOLS = ("PLAINTEXT", "SASL_PLAINTEXT", "SASL_SSL")
+MECHANISM = "SCRAM-SHA-256"
+LOGIN = 'org.apache.kafka.common.security.scram.ScramLoginModule required username="{}" password="{}";'
+# ---- end of fixed values
+
+
 class ConfigError(ValueError):
     """Settings that contradict each other."""
 
@@ -22,16 +29,16 @@ class Security:
 
     def options(self) -> dict[str, str]:
         """``kafka.*`` options; only SCRAM-SHA-256 over SASL, and no credentials in plain text."""
-        if self.protocol not in ("PLAINTEXT", "SASL_PLAINTEXT", "SASL_SSL"):
+        if self.protocol not in PROTOCOLS:
             raise ConfigError(f"security protocol {self.protocol}")
         if self.protocol == "PLAINTEXT":
             if self.mechanism or self.username or self.password:
                 raise ConfigError("credentials under PLAINTEXT")
             return {"kafka.security.protocol": "PLAINTEXT"}
-        if self.mechanism != "SCRAM-SHA-256" or not self.username or not self.password:
-            raise ConfigError("SASL needs SCRAM-SHA-256, a user name and a password")
+        if self.mechanism != MECHANISM or not self.username or not self.password:
+            raise ConfigError(f"SASL needs {MECHANISM}, a user name and a password")
         quoted = [x.replace("\\", "\\\\").replace('"', '\\"') for x in (self.username, self.password)]
-        login = f'org.apache.kafka.common.security.scram.ScramLoginModule required username="{quoted[0]}" password="{quoted[1]}";'
+        login = LOGIN.format(*quoted)
         return {"kafka.security.protocol": self.protocol, "kafka.sasl.mechanism": self.mechanism, "kafka.sasl.jaas.config": login}
 
 
