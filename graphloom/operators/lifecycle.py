@@ -66,12 +66,6 @@ def winners(snapshots: DataFrame) -> DataFrame:
     return won.select("element_id", "name", ids.literal(F.col("w.value")).alias("value"), F.col("w.contributor_id").alias("owner"))
 
 
-def fallbacks(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Attributes that another contributor owns once some snapshots are gone."""
-    was = winners(before).select("element_id", "name", F.col("owner").alias("was"))
-    return winners(after).join(was, ["element_id", "name"]).where("owner <> was")
-
-
 def ttl_seconds(default: int, overrides: dict[str, int]) -> Column:
     """A node's type's time to live; an edge's is never longer than its endpoints'."""
     of = F.lit(default)

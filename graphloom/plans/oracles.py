@@ -208,9 +208,6 @@ SQL: dict[str, str] = {
     "stale_observation_filter": f"""WITH {CONTRIBUTIONS},
         k AS (SELECT *, max(observed_ns) OVER (PARTITION BY element_id, contributor_id ORDER BY point_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM contrib)
         SELECT kind, type, count(*) AS n, CAST(sum(observed_ns // 1000000000) AS BIGINT) AS seconds FROM k WHERE newest IS NULL OR observed_ns >= newest GROUP BY ALL""",
-    "attribute_fallback_after_expiry": f"""WITH {CONTRIBUTIONS}{_MERGED_LATEST}{_MERGED_LIVE}
-        SELECT b.element_id, b.name, '"' || b.value || '"' AS value, b.owner, a.owner AS was
-        FROM now__won a JOIN then__won b ON a.element_id = b.element_id AND a.name = b.name WHERE a.owner <> b.owner""",
     "edge_endpoint_refs": f"""WITH {CONTRIBUTIONS},
         e AS (SELECT DISTINCT type, replace(split_part(source_id, ':', 1), '.', '_') AS source, replace(split_part(target_id, ':', 1), '.', '_') AS target, source_id, target_id FROM latest WHERE kind = 'edge')
         SELECT source, type AS semantic_type, target, count(DISTINCT source_id) AS sources, count(DISTINCT target_id) AS targets,

@@ -262,12 +262,6 @@ def partial_expiry(spark: SparkSession, d: str) -> DataFrame:
     return rest.select("element_id", F.col("expired_ns").alias("observed_ns"), lc.element_hash().alias("payload_hash"))
 
 
-@query
-def attribute_fallback_after_expiry(spark: SparkSession, d: str) -> DataFrame:
-    dated = _dated(spark, d)
-    return lc.fallbacks(dated, lc.expire_as_of(dated, AS_OF)[0])
-
-
 @query
 def delete_events(spark: SparkSession, d: str) -> DataFrame:
     return lc.deletes(lc.expire_as_of(_dated(spark, d), AS_OF)[1]).select("event_id", "element_id", "observed_at_unix_nano", "operation")
