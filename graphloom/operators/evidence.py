@@ -91,6 +91,18 @@ def extract_entities(attributes: Column, lane: str | None = None, registry: Regi
     return F.filter(found, lambda e: e.isNotNull())
 
 
+def extract_strict(attributes: Column, lane: str | None = None, registry: Registry | None = None, types: list[str] | None = None) -> Column:
+    """All entities whose identity attributes are all there; one that isn't valid then is an error in the query."""
+    r = registry or default()
+    chosen = types if types is not None else sorted(r.entities) if lane is None else r.lane_types(lane)
+
+    def strict(t: str) -> Column:
+        named = F.forall(F.array(*map(F.lit, r.entities[t].identity)), lambda k: F.map_contains_key(attributes, k))
+        return F.when(named, require_entity(attributes, t, r))
+
+    return F.filter(F.array(*map(strict, chosen)).cast(f"array<{NODE}>"), lambda e: e.isNotNull())
+
+
 def require_entity(attributes: Column, type_: str, registry: Registry | None = None) -> Column:
     """The entity, or an error in the query where it isn't valid or has no identity."""
     e = extract_entity(attributes, (registry or default()).entities[type_])

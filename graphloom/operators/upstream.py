@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import ids
+
 
 def pair_spans(spans: DataFrame, ttl_seconds: int = 10) -> DataFrame:
     """Client spans with the server span they are the parent of, within a trace and ``ttl_seconds`` of each other.
@@ -18,6 +20,19 @@ def pair_spans(spans: DataFrame, ttl_seconds: int = 10) -> DataFrame:
     return c.join(s, (c["client_trace_id"] == s["server_trace_id"]) & (s["server_parent_span_id"] == c["client_span_id"]) & near)
 
 
+def pair_dimensions(names: list[str], resource: str = "resource", attributes: str = "attributes") -> Column:
+    """Attribute map of a pair's dimensions, named ``client_...`` and ``server_...``: of each side the attributes
+    ``names`` lists, the resource's value before the span's.  A null map counts as empty."""
+    empty = F.expr(ids.NO_ATTRIBUTES)
+
+    def of(side: str) -> Column:
+        listed = [F.map_filter(F.coalesce(F.col(f"{side}_{m}"), empty), lambda k, _: k.isin(*names)) for m in (resource, attributes)]
+        both = F.map_zip_with(*listed, lambda _, r, a: F.coalesce(r, a))
+        return F.transform_keys(both, lambda k, _: F.concat(F.lit(side + "_"), k))
+
+    return F.map_concat(of("client"), of("server"))
+
+
 def edge_counts(pairs: DataFrame, *dimensions: str, window: str | None = None) -> DataFrame:
     """Requests per client and server service (and dimensions, and window)."""
     keys: list[Column | str] = [F.col("client_service").alias("client"), F.col("server_service").alias("server"), *dimensions]

@@ -202,6 +202,8 @@ SQL: dict[str, str] = {
         UNION ALL SELECT p_partkey, 'k8s.node:node-' || p_size FROM part
         UNION ALL SELECT p_partkey, 'k8s.cluster:cluster-' || (p_size % 3) FROM part
         UNION ALL SELECT p_partkey, 'process:' || p_partkey || ':2000-01-01' FROM part""",
+    "extract_strict": f"""WITH {POINTS} SELECT point_id, 'service:' || client AS element_id,
+        '{{"service.name":"' || client || '","service.version":"' || version || '"}}' AS attributes FROM good""",
     "template_prefix_map": """SELECT p_partkey, '{"k8s.pod.label.brand":"' || p_brand || '","k8s.pod.name":"' || p_name || '","k8s.pod.uid":"pod-' || p_partkey || '"}' AS attributes
         FROM part WHERE p_partkey % 4 <> 0""",
     "contribution_latest": f"WITH {CONTRIBUTIONS} SELECT element_id, contributor_id, observed_ns, point_id FROM latest",
@@ -287,6 +289,8 @@ SQL: dict[str, str] = {
         SELECT 'service:n1', 0 UNION SELECT w.t, r.distance + 1 FROM r JOIN w ON w.s = r.id WHERE r.distance < 3)
         SELECT id, CAST(min(distance) AS INTEGER) AS distance FROM r GROUP BY id""",
     "span_pairing": f"WITH {SPANS} SELECT trace_id, CAST(ct AS VARCHAR) AS client_span, CAST(st AS VARCHAR) AS server_span FROM paired",
+    "span_dimensions": f"""WITH {SPANS} SELECT p.trace_id, CAST(ct AS VARCHAR) AS client_span, side || '_service.version' AS name, resource AS value
+        FROM paired p JOIN sp ON sp.trace_id = p.trace_id AND sp.turn = ct, (VALUES ('client'), ('server')) sides(side)""",
     "servicegraph_counts": f"WITH {SPANS} SELECT client, server, count(*) AS requests FROM paired GROUP BY ALL",
     "cumulative_to_delta": """WITH x AS (SELECT l_suppkey, (((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000) * 100 + l_suppkey % 100) * 64 + CAST(l_quantity AS BIGINT) AS seq, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
         y AS (SELECT *, lag(q) OVER (PARTITION BY l_suppkey ORDER BY seq) AS b FROM x), z AS (SELECT seq, CASE WHEN b IS NULL OR q < b THEN q ELSE q - b END AS delta FROM y)

@@ -181,6 +181,14 @@ def extract_valid_skips_invalid(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", F.col("e.id").alias("element_id"))
 
 
+@query
+def extract_strict(spark: SparkSession, d: str) -> DataFrame:
+    """Entities of the accepted points' client sides, none of which has an invalid one."""
+    rows = _accepted(spark, d).select("point_id", ev.side(F.col("attributes"), "client", F.try_element_at("attributes", F.lit("client"))["v"]).alias("side"))
+    found = rows.select("point_id", F.explode(ev.extract_strict(F.col("side"), "service_graph")).alias("e"))
+    return found.select("point_id", F.col("e.id").alias("element_id"), ids.attributes_json(F.col("e.attributes")).alias("attributes"))
+
+
 @query
 def template_prefix_map(spark: SparkSession, d: str) -> DataFrame:
     rows = _resources(spark, d).select("p_partkey", ev.extract_entity(F.col("attributes"), default().entities["k8s.pod"]).alias("e"))
@@ -490,6 +498,13 @@ def span_pairing(spark: SparkSession, d: str) -> DataFrame:
     return up.pair_spans(fx.spans(spark, d)).select(F.col("client_trace_id").alias("trace_id"), F.col("client_span_id").alias("client_span"), F.col("server_span_id").alias("server_span"))
 
 
+@query
+def span_dimensions(spark: SparkSession, d: str) -> DataFrame:
+    pairs = up.pair_spans(fx.spans(spark, d)).withColumn("dimensions", up.pair_dimensions(default().dimensions("service_graph")))
+    rows = pairs.select(F.col("client_trace_id").alias("trace_id"), F.col("client_span_id").alias("client_span"), F.explode("dimensions").alias("name", "x"))
+    return rows.select("trace_id", "client_span", "name", F.col("x.v").alias("value"))
+
+
 @query
 def servicegraph_counts(spark: SparkSession, d: str) -> DataFrame:
     return up.edge_counts(up.pair_spans(fx.spans(spark, d)))

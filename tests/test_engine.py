@@ -12,6 +12,7 @@ from graphloom.operators import evidence as ev
 from graphloom.operators import lifecycle as lc
 from graphloom.operators import projection as pj
 from graphloom.operators import traversal as tv
+from graphloom.operators import upstream as up
 from graphloom.plans import fixtures as fx
 from graphloom.sources import kafka, otlp
 from graphloom.streaming.model import Coalescer, Element, IdentityConflict, Lifecycle, Observation, Ttl, event_id, merged, payload_hash
@@ -220,3 +221,28 @@ def test_kafka_settings():
         kafka.EngineConfig(default_ttl_s=10, refresh_interval_s=10)
     with pytest.raises(kafka.ConfigError):
         kafka.EngineConfig(ttl_by_type=(("odd", 5),))
+
+
+def test_strict_extraction_refuses_what_lenient_extraction_skips(spark):
+    good = fx.attributes(service__name=fx.text("a"), k8s__node__uid=fx.text("n"))
+    bad = fx.attributes(service__name=fx.text("a"), k8s__node__uid=fx.integer(F.lit(1)))
+    short = fx.attributes(service__namespace=fx.text("x"), http__route=fx.text("/"))
+    types = ["service", "k8s.node", "app.endpoint", "service.namespace"]
+    found = lambda a: [e["id"] for e in spark.range(1).select(ev.extract_strict(a, types=types).alias("e")).first()["e"]]
+    assert sorted(found(good)) == ["k8s.node:n", "service:a"]
+    assert found(short) == ["service.namespace:x"]  # an endpoint's identity isn't whole: no error
+    assert found(F.expr(ids.NO_ATTRIBUTES)) == []
+    with pytest.raises(Exception, match="no valid k8s.node"):
+        found(bad)
+
+
+def test_pair_dimensions(spark):
+    null = F.lit(None).cast(ids.ATTRIBUTES)
+    columns = {
+        "client_resource": fx.attributes(a__b=fx.text("resource")), "client_attributes": fx.attributes(a__b=fx.text("span"), c=fx.text("span"), d=fx.text("no")),
+        "server_resource": null, "server_attributes": fx.attributes(c=fx.integer(F.lit(7))),
+    }
+    got = spark.range(1).withColumns(columns).select(up.pair_dimensions(["a.b", "c"]).alias("m")).first()["m"]
+    assert {k: tuple(v) for k, v in got.items()} == {"client_a.b": ("s", "resource"), "client_c": ("s", "span"), "server_c": ("i", "7")}
+    nothing = spark.range(1).withColumns(dict.fromkeys(columns, null)).select(up.pair_dimensions(["a.b"]).alias("m")).first()["m"]
+    assert nothing == {}
