@@ -8,6 +8,7 @@ array expressions over the row, so a datapoint succeeds or fails as a whole.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import ids
@@ -174,20 +175,39 @@ def classify(points: DataFrame) -> DataFrame:
     return points.where(F.col("metric_name").isin(INTERACTION, DISCOVERY)).withColumn("reason", reason)
 
 
-def _contributions(points: DataFrame, nodes: Column, edges: Column, contributor: Column | None) -> DataFrame:
+def newest(points: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """The newest accepted service-graph point of each contributor, of equally new ones the last to arrive, with its ``contributor_id``.
+
+    That id is a hash of all the attributes a point's elements are made of, so points of one contributor give the same
+    contributions, and those of its newest point are what ``lifecycle.latest`` leaves of them: points are fewer than
+    contributions, and nothing is extracted in vain.  ``within`` names columns that a contributor determines; where
+    points lie partitioned by them, they aren't shuffled again.
+    """
+    rows = points.where(F.col("reason").isNull() & (F.col("metric_name") == INTERACTION)).withColumn("contributor_id", _contributor(F.col("attributes")))
+    order = W.partitionBy(*within, "contributor_id").orderBy(F.desc("observed_ns"), F.desc("point_id"))
+    return rows.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+
+
+def _contributor(a: Column) -> Column:
+    text = lambda name: F.try_element_at(a, F.lit(name))["v"]
+    dimensions = F.map_filter(a, lambda k, _: ~k.isin("client", "server", "connection_type"))
+    return ids.interaction_contributor(text("client"), text("server"), connection_type(a), dimensions)
+
+
+def _contributions(points: DataFrame, nodes: Column, edges: Column, contributor: Column | None, keep: tuple[str, ...] = ()) -> DataFrame:
     empty = F.expr(ids.NO_ATTRIBUTES)
     null = F.lit(None).cast("string")
     shape = lambda kind, e, s, d: F.struct(F.lit(kind).alias("kind"), e["id"].alias("element_id"), e["type"].alias("type"), s.alias("source_id"), d.alias("target_id"), e["attributes"].alias("attributes"))
     whole = F.transform(nodes, lambda n: shape("node", n, null, null))
     named = F.transform(edges, lambda e: F.struct(ids.edge_id(e["source_id"], e["type"], e["target_id"]).alias("id"), e["type"].alias("type"), empty.alias("attributes"), e["source_id"], e["target_id"]))
     both = F.concat(whole, F.transform(named, lambda e: shape("edge", e, e["source_id"], e["target_id"])))
-    rows = points.withColumn("_contributor", contributor if contributor is not None else null).select("point_id", "observed_ns", "_contributor", F.explode(both).alias("e")).select("point_id", "observed_ns", "_contributor", "e.*")
+    rows = points.withColumn("_contributor", contributor if contributor is not None else null).select("point_id", "observed_ns", "_contributor", *keep, F.explode(both).alias("e")).select("point_id", "observed_ns", "_contributor", *keep, "e.*")
     id_ = F.col("_contributor") if contributor is not None else ids.discovery_contributor(DISCOVERY, F.col("element_id"), F.col("attributes"))
-    return rows.select("point_id", id_.alias("contributor_id"), "observed_ns", "element_id", "kind", "type", "source_id", "target_id", "attributes")
+    return rows.select("point_id", id_.alias("contributor_id"), "observed_ns", "element_id", "kind", "type", "source_id", "target_id", "attributes", *keep)
 
 
-def interactions(points: DataFrame, registry: Registry | None = None, types: list[str] | None = None) -> DataFrame:
-    """Contributions of accepted service-graph points."""
+def interactions(points: DataFrame, registry: Registry | None = None, types: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Contributions of accepted service-graph points, with the columns ``keep`` of their points; a ``contributor_id`` of ``newest`` is taken over."""
     lane = "service_graph"
     a = F.col("attributes")
     text = lambda name: F.try_element_at(a, F.lit(name))["v"]
@@ -199,9 +219,8 @@ def interactions(points: DataFrame, registry: Registry | None = None, types: lis
     mine, theirs = (F.col(f"_{s}_ids") for s in _SIDES)
     observed = [expand_edges(x, x, lane, "observation", None, registry, types) for x in (mine, theirs)]
     between = expand_edges(mine, theirs, lane, "interaction", F.col("_connection"), registry, types)
-    dimensions = F.map_filter(a, lambda k, _: ~k.isin("client", "server", "connection_type"))
-    contributor = ids.interaction_contributor(text("client"), text("server"), F.col("_connection"), dimensions)
-    return _contributions(rows, merge_nodes(F.col("_client"), F.col("_server")), F.array_distinct(F.concat(*observed, between)), contributor)
+    contributor = F.col("contributor_id") if "contributor_id" in points.columns else _contributor(a)
+    return _contributions(rows, merge_nodes(F.col("_client"), F.col("_server")), F.array_distinct(F.concat(*observed, between)), contributor, keep)
 
 
 def discoveries(points: DataFrame, registry: Registry | None = None, types: list[str] | None = None) -> DataFrame:

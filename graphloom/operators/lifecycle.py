@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
@@ -12,6 +14,7 @@ from ..functions import ids
 NS = 1_000_000_000
 _BODY = ("kind", "type", "source_id", "target_id", "attributes")
 _KEY = ("element_id", "contributor_id")
+_VALUE = "struct<t: string, v: string>"
 
 
 def _by_arrival() -> WindowSpec:
@@ -46,17 +49,70 @@ def check_identity(contributions: DataFrame) -> DataFrame:
     return found.where("a <> b").select("element_id")
 
 
-def merge_attributes(snapshots: DataFrame) -> DataFrame:
+def _gathered(snapshots: DataFrame, within: tuple[str, ...], sums: dict[str, Callable], newest: tuple[str, ...]) -> DataFrame:
+    """One row per element: ``sums`` over its snapshots, and ``values`` with what ``newest`` is of each attribute's winner.
+
+    A snapshot is read once: it becomes a row without a name and one per attribute.  ``newest`` columns never fall while
+    ``observed_ns`` rises, so that a winner's are the greatest.  Where snapshots lie partitioned by ``within``, those of
+    an element are put together there before the one shuffle.
+    """
+    head = F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast(_VALUE).alias("value"))
+    named = F.transform(F.map_entries("attributes"), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value")))
+    shape = ("kind", "type", "source_id", "target_id")
+    rows = snapshots.select(*within, "element_id", *shape, "contributor_id", *{**sums, **dict.fromkeys(newest)}, F.inline(F.concat(F.array(head), named)))
+    winner = F.struct("value", F.when(F.col("name").isNotNull(), F.col("contributor_id")).alias("contributor_id"), F.col("observed_ns"))
+    rows = rows.select(*within, "element_id", "name", *shape, winner.alias("w"), *{**sums, **dict.fromkeys(newest)})
+    first = [F.first(c).alias(c) for c in shape]
+    best = F.min_by("w", F.struct(-F.col("w.observed_ns"), F.col("w.contributor_id"))).alias("w")
+    both = [f(c).alias(c) for c, f in {**dict.fromkeys(newest, F.max), **sums}.items()]
+    if within:
+        rows = rows.groupBy(*within, "element_id", "name").agg(*first, best, *both).repartition("element_id")
+    rows = rows.groupBy("element_id", "name").agg(*first, best, *both)
+    value = F.struct("name", F.col("w.value").alias("value"), *newest)
+    heads = [F.max(F.when(F.col("name").isNull(), F.col(c))).alias(c) for c in sums]
+    return rows.groupBy("element_id").agg(*first, *heads, F.array_sort(F.collect_list(F.when(F.col("name").isNotNull(), value))).alias("values"))
+
+
+def _map(values: Column) -> Column:
+    return F.map_from_entries(F.transform(values, lambda v: F.struct(v["name"], v["value"])))
+
+
+def merge_attributes(snapshots: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """One row per element: each attribute from the newest observation that has it, ties to the smallest contributor."""
-    heads = snapshots.groupBy("element_id").agg(
-        *[F.first(c).alias(c) for c in ("kind", "type", "source_id", "target_id")],
-        F.count(F.lit(1)).alias("contributors"),
-        F.max("observed_ns").alias("observed_ns"),
-    )
-    values = snapshots.select("element_id", "contributor_id", "observed_ns", F.explode("attributes").alias("name", "value"))
-    won = values.groupBy("element_id", "name").agg(F.min_by(F.struct("value", "contributor_id"), F.struct(-F.col("observed_ns"), F.col("contributor_id"))).alias("w"))
-    maps = won.groupBy("element_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "w.value")))).alias("attributes"))
-    return heads.join(maps, "element_id", "left").withColumn("attributes", F.coalesce("attributes", F.expr(ids.NO_ATTRIBUTES)))
+    rows = _gathered(snapshots.withColumn("contributors", F.lit(1).cast("long")), within, {"contributors": F.sum, "observed_ns": F.max}, ())
+    return rows.withColumn("attributes", _map(F.col("values"))).drop("values")
+
+
+def states(dated: DataFrame, as_of_ns: int, within: tuple[str, ...] = ()) -> DataFrame:
+    """One row per element: what ``merge_attributes`` says of all contributors and ``expire_as_of`` of those live at a time.
+
+    ``contributors`` and ``attributes`` are of all, ``left`` and ``live_attributes`` of live ones; ``expired_ns`` is the
+    latest expiry, null if none expired.  An element's ``deadlines`` never fall while observations get newer, so an
+    attribute's winner is the winner among live ones too, or none of them has it; ``observed_ns`` is that of live ones if
+    any is left.
+    """
+    live = F.col("deadline_ns") > as_of_ns
+    marked = dated.withColumns({"contributors": F.lit(1).cast("long"), "left": live.cast("long"), "expired_ns": F.when(~live, F.col("deadline_ns"))})
+    sums = {"contributors": F.sum, "left": F.sum, "observed_ns": F.max, "expired_ns": F.max}
+    rows = _gathered(marked, within, sums, ("deadline_ns",))
+    stays = F.filter("values", lambda v: v["deadline_ns"] > as_of_ns)
+    return rows.withColumns({"attributes": _map(F.col("values")), "live_attributes": _map(stays)}).drop("values")
+
+
+def events(found: DataFrame) -> DataFrame:
+    """Events of elements' ``states``, in order of ``seq``: upserts of all (1), upserts of those that are left (2), deletes of the others (3)."""
+    null = F.lit(None).cast("string")
+    shape = ("kind", "type", "source_id", "target_id")
+
+    def upsert(seq: int, attributes: str) -> Column:
+        hash_ = ids.payload_hash(*(F.col(c) for c in ("kind", "element_id", "type", attributes, "source_id", "target_id")))
+        return F.struct(F.lit(seq).alias("seq"), F.col("observed_ns"), F.lit("upsert").alias("operation"), hash_.alias("payload_hash"), *shape, F.col(attributes).alias("attributes"))
+
+    gone = [F.lit(3).alias("seq"), F.col("expired_ns").alias("observed_ns"), F.lit("delete").alias("operation"), null.alias("payload_hash")]
+    gone += [null.alias(c) for c in shape] + [F.lit(None).cast(ids.ATTRIBUTES).alias("attributes")]
+    then = F.when(F.col("left") > 0, upsert(2, "live_attributes")).otherwise(F.struct(*gone))
+    rows = found.select("element_id", F.explode(F.array(upsert(1, "attributes"), then)).alias("e")).select("element_id", "e.*")
+    return _event(rows, "seq")
 
 
 def winners(snapshots: DataFrame) -> DataFrame:
@@ -110,11 +166,11 @@ def deletes(lost: DataFrame) -> DataFrame:
     return _event(rows)
 
 
-def _event(rows: DataFrame) -> DataFrame:
+def _event(rows: DataFrame, *more: str) -> DataFrame:
     id_ = ids.event_id(F.col("operation"), F.col("element_id"), F.col("observed_ns"), F.col("payload_hash"))
     return rows.select(
         F.lit("3.0").alias("schema_version"), id_.alias("event_id"), F.lit("graph_element_state_changed").alias("event_type"), "element_id",
-        F.col("observed_ns").alias("observed_at_unix_nano"), "operation", "payload_hash", "kind", "type", "source_id", "target_id", "attributes",
+        F.col("observed_ns").alias("observed_at_unix_nano"), "operation", "payload_hash", "kind", "type", "source_id", "target_id", "attributes", *more,
     )
 
 

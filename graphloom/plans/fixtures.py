@@ -32,17 +32,27 @@ def attributes(**values: Column) -> Column:
     return F.map_from_entries(F.filter(entries, lambda e: e["value"]["v"].isNotNull())).cast(ids.ATTRIBUTES)
 
 
+#: Bytes of line items (as files) a partition of points: a task sorts what it makes of them in memory.
+SHARE = 1 << 20
+
+
 def interaction_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One service-graph datapoint per line item; some of each kind of fault."""
+    """One service-graph datapoint per line item; some of each kind of fault.  They lie partitioned by ``server_key``."""
     supplier = read(spark, sf_dir, "supplier").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
-    line = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    items = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 20).alias("client_key"))
+    line = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    # The join's output is cut into few partitions by its bytes, but what follows costs CPU time.  The line items are
+    # shuffled, as points are many times as wide; all points of a server lie together, and so do most of its elements.
+    share = int(str(items._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // SHARE
+    line = line.repartition(max(4 * spark.sparkContext.defaultParallelism, share), "l_suppkey")
     line = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     point = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     line = line.withColumn("point_id", ((point * 1000 + F.col("l_partkey") % 1000) * 100 + F.col("l_suppkey") % 100) * 64 + F.col("l_quantity").cast("long"))
     connection = F.when(F.col("l_linenumber") == 7, "future_protocol").when(F.col("l_returnflag") == "A", "messaging_system").when(F.col("l_returnflag") == "R", "database")
     method = F.element_at(F.array(*map(F.lit, ("GET", "POST", "BREW"))), (F.col("l_linenumber") % 3 + 1).cast("int"))
     a = attributes(
-        client=text(F.when(point % 107 == 0, "").otherwise(F.concat(F.lit("cust-"), F.col("o_custkey") % 20))),
+        client=text(F.when(point % 107 == 0, "").otherwise(F.concat(F.lit("cust-"), F.col("client_key")))),
         server=text(F.concat(F.lit("supp-"), F.col("l_suppkey"))),
         connection_type=text(connection),
         client_service__version=text(F.concat(F.lit("v"), F.col("l_linenumber"))),
@@ -50,7 +60,7 @@ def interaction_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         server_http__request__method=text(method),
         server_http__route=text(F.concat(F.lit("/part/"), F.col("l_partkey") % 5)),
     )
-    points = line.select(
+    return line.select(
         "point_id",
         F.col("point_id").alias("metric_id"),
         F.when(point % 13 == 0, "other_metric").otherwise(INTERACTION).alias("metric_name"),
@@ -59,9 +69,8 @@ def interaction_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(point % 97 == 0, 0.0).when(point % 89 == 0, -1.0).otherwise(F.col("l_quantity")).alias("value"),
         nanos("l_shipdate").alias("observed_ns"),
         a.alias("attributes"),
+        F.col("l_suppkey").alias("server_key"),
     )
-    # The join's output is cut into few partitions by its bytes, but what follows costs CPU time.
-    return points.repartition(4 * spark.sparkContext.defaultParallelism)
 
 
 def discovery_points(spark: SparkSession, sf_dir: str) -> DataFrame:
