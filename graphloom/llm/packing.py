@@ -14,6 +14,8 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import compress, count, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
@@ -34,6 +36,8 @@ PIECES = (
 
 #: A word of Latin letters with ASCII signs behind: pre-tokenizers that part letters from the rest cut it there.
 LATIN_WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]+)([!-@\\[-`{-~][!-~]*)?")
+#: Small Latin letters that no normalizer changes.
+SMALL_LETTERS = re.compile("[a-z\\xdf-\\xf6\\xf8-\\xff]+")
 
 
 class WordTokenizer:
@@ -61,8 +65,54 @@ class WordTokenizer:
         steps = json.dumps([parts["normalizer"], parts["pre_tokenizer"]])
         #: Whether the vocabulary is of that kind; with any other, texts are encoded whole.
         self.parted = '"Lowercase"' in steps and "[\\\\p{L}]+" in steps
+        self.ends = self._letters(parts) if self.parted else None
+
+    def _letters(self, parts: dict) -> np.ndarray | None:
+        """Whether each id ends a word, and as ``bare`` the model without other steps; null unless those leave words of small Latin letters whole."""
+        model, suffix = parts["model"], parts["model"].get("end_of_word_suffix")
+        steps = [parts["normalizer"], parts["pre_tokenizer"]]
+        steps = [x for y in steps for x in (y.get("normalizers") or y.get("pretokenizers") or [y])]
+        cuts = {x for y in steps if y["type"] == "Split" for x in y["pattern"].get("Regex", "?").split("|")}
+        if (
+            model["type"] != "BPE"
+            or not suffix
+            or model["dropout"]
+            or not {"Split", "ByteLevel"} <= {y["type"] for y in steps} <= {"NFC", "Lowercase", "Replace", "Split", "ByteLevel"}
+            or any(y["pattern"] != {"Regex": "\\s+"} for y in steps if y["type"] == "Replace")
+            or any(y["add_prefix_space"] or y.get("use_regex") for y in steps if y["type"] == "ByteLevel")
+            or not {x for x in cuts if not x.startswith("'")} <= {"[\\p{L}]+", "[\\p{N}]", "[^\\s\\p{L}\\p{N}]+"}
+            or any(map(SMALL_LETTERS.fullmatch, self.specials))
+        ):
+            return None
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.bare = Tokenizer.from_str(self.model.to_str())
+        self.bare.normalizer, self.bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.model.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return ends
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.ends is None:
+            return self._encode_any(texts)
+        words = list(filter(SMALL_LETTERS.fullmatch, texts))
+        if not words:
+            return self._encode_any(texts)
+        ids = np.array(self.bare.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            return self._encode_any(texts)
+        raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+        found = dict(zip(words, map(raw.__getitem__, map(slice, at, at[1:])), strict=False))
+        if len(found) < len(texts):
+            others = [t for t in texts if t not in found]
+            found.update(zip(others, self._encode_any(others), strict=True))
+        return [found[t] for t in texts]
+
+    def _encode_any(self, texts: list[str]) -> list[bytes]:
         joined = "" if self.mark is None else self.mark[1].join(texts)
         if self.mark is None or sum(map(joined.count, self.specials)) >= len(texts):
             return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch(texts, add_special_tokens=False)]
@@ -73,6 +123,8 @@ class WordTokenizer:
         return [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
     def _parts(self, word: bytes) -> tuple[str, str]:
+        if self.parted and word.isalpha():  # ASCII letters only
+            return word.lower().decode(), ""
         text = word.decode("utf-8", "replace")
         if self.parted and (m := LATIN_WORD.fullmatch(text)) and "<|" not in text:
             return m[1].lower(), m[2] or ""
@@ -84,8 +136,9 @@ class WordTokenizer:
             return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = text.encode("utf-8", "surrogatepass").split()  # on ASCII white space
         young = self.words[0]
-        new = _recall(self.words, {*words}.difference(young))
-        if new:
+        out = list(map(young.get, words))
+        gaps = list(compress(count(), map(is_, out, repeat(None))))
+        if gaps and (new := _recall(self.words, {words[i] for i in gaps})):
             parts = [self._parts(w) for w in new]
             pieces = self.pieces[0]
             unseen = _recall(self.pieces, {p for pair in parts for p in pair if p}.difference(pieces))
@@ -93,24 +146,22 @@ class WordTokenizer:
                 pieces.update(zip(unseen, self._encode(unseen), strict=True))
             pieces[""] = b""
             young.update((w, pieces[a] + pieces[b]) for w, (a, b) in zip(new, parts, strict=True))
-        out = b"".join([young[w] for w in words])
+        for i in gaps:
+            out[i] = young[words[i]]
         if len(young) > MEMO_WORDS:
             self.words = ({}, young)
         if len(self.pieces[0]) > MEMO_WORDS:
             self.pieces = ({}, self.pieces[0])
-        return out
+        return b"".join(out)
 
 
 def _recall(memory: tuple[dict, dict], keys: set) -> list:
     """The keys that neither generation holds; those of the old one move to the young one."""
     young, old = memory
-    unknown = []
-    for k in keys:
-        if k in old:
-            young[k] = old[k]
-        else:
-            unknown.append(k)
-    return unknown
+    known = old.keys() & keys
+    for k in known:
+        young[k] = old[k]
+    return list(keys - known)
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
