@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from ..functions import ids
 from ..registry import Registry, default
 
+#: Lost ends up to which they are broadcast.
+FEW = 10_000
 _ENVELOPE = ("schema_version", "event_id", "payload_hash", "observed_at_unix_nano")
 
 
@@ -122,7 +124,12 @@ def duplicates(table: DataFrame) -> DataFrame:
 
 
 def dangling_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges of which an endpoint is no vertex."""
-    v = vertices.select(F.col("element_id").alias("v"))
-    lost = [edges.join(v, edges[c] == v["v"], "left_anti") for c in ("source_id", "target_id")]
-    return lost[0].unionByName(lost[1]).dropDuplicates(["element_id"])
+    """Edges of which an endpoint is no vertex.
+
+    Ends are looked up first, each once, and kept; edges themselves are shuffled only where lost ends are many.
+    """
+    ends = edges.select(F.explode(F.array("source_id", "target_id")).alias("end")).distinct()
+    lost = ends.join(vertices.select(F.col("element_id").alias("v")), F.col("end") == F.col("v"), "left_anti").persist()
+    found = F.broadcast(lost) if lost.limit(FEW + 1).count() <= FEW else lost
+    both = [edges.join(found, F.col(c).eqNullSafe(F.col("end")), "left_semi") for c in ("source_id", "target_id")]
+    return both[0].unionByName(both[1]).dropDuplicates(["element_id"])

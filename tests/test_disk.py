@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import evidence as ev
 from graphloom.operators import lifecycle as lc
+from graphloom.operators import projection as pj
 from graphloom.plans import fixtures as fx
 from graphloom.plans import queries as Q
 
@@ -84,3 +85,15 @@ def test_states_and_events_equal_the_separate_steps(spark, within):
         mine = [x for x in rows if x[0] == e]
         assert (contributors, at) == (len(mine), max(x[2] for x in mine))
         assert {x.key: tuple(x.value) for x in a} == {n: best[f, n][2] for f, n in best if f == e}
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_dangling_edges_are_found_without_a_shuffle_of_edges(spark, monkeypatch, few):
+    monkeypatch.setattr(pj, "FEW", few)
+    v = spark.createDataFrame([("a",), ("b",)], "element_id string")
+    ends = [("a", "b"), ("a", "x"), ("y", "b"), ("x", "y"), ("b", "a"), (None, "a"), ("b", None)]
+    e = spark.createDataFrame([(f"e{i}", s, t) for i, (s, t) in enumerate(ends)], "element_id string, source_id string, target_id string")
+    found = pj.dangling_edges(v, e)
+    assert sorted(x.element_id for x in found.collect()) == ["e1", "e2", "e3", "e5", "e6"]
+    if few:
+        assert not {"SortMergeJoin", "ShuffledHashJoin"} & set(steps(found)[: steps(found).index("InMemoryTableScan")])
