@@ -20,24 +20,87 @@ from operator import is_
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ship import ship
-from .common import materialise, table
+from .common import _IS_SPACE, _LOWER, materialise, table
 
-MEMO_WORDS = 250_000
+MEMO_PIECES = 300_000
+#: Texts whose words are looked up together have at most so many bytes; a longer text is taken alone, in parts.
+SLICE_BYTES = 4 << 20
+#: New pieces of words that are encoded together.
+TOGETHER = 8192
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, sequence_order long, ids binary, source_part long"
 )
 
 
-#: A word of Latin letters with ASCII signs behind: pre-tokenizers that part letters from the rest cut it there.
-LATIN_WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]+)([!-@\\[-`{-~][!-~]*)?")
+#: Latin letters that stay themselves, or become their small ones, in all steps before the model.
+LATIN_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f]+")
 #: Small Latin letters that no normalizer changes.
 SMALL_LETTERS = re.compile("[a-z\\xdf-\\xf6\\xf8-\\xff]+")
+#: Of each byte: white space, ASCII letter, part of a longer character, ASCII sign, control.
+_SPACE, _LETTER, _HIGH, _SIGN, _CONTROL = 0, 1, 2, 4, 8
+_KIND = np.full(256, _CONTROL, np.uint8)
+_KIND[33:127], _KIND[128:], _KIND[_IS_SPACE] = _SIGN, _HIGH, _SPACE
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KINDS, _SMALL, _SPACES = _KIND.tobytes(), _LOWER.tobytes(), re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _latin(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the bytes of UTF-8 at the places ``at`` belong to ``LATIN_LETTERS``."""
+    byte, before = raw[at], raw[at - 1]
+    lead = (byte >= 0xC3) & (byte <= 0xC9)  # U+00C0 to U+027F
+    behind = (byte < 0xC0) & (before >= 0xC3) & (before <= 0xC9)
+    other = (before == 0xC3) & ((byte == 0x97) | (byte == 0xB7)) | (before == 0xC4) & (byte == 0xB0) | (before == 0xC9) & (byte >= 0x90)
+    return lead | behind & ~other
+
+
+def cut_words(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of UTF-8 texts that begin at ``starts`` in ``raw``, as pieces: their bytes, each one's place there, and its place in ``raw``.
+
+    A word of Latin letters with ASCII signs behind is cut before the first
+    sign: pre-tokenizers that part letters from the rest cut there too.  It and
+    any other word of such letters or ASCII signs gets small ASCII letters.  Others
+    stay as they are, and so do those with ``<|``, which may be special tokens.
+    """
+    data = raw.tobytes()
+    kind = np.frombuffer(data.translate(_KINDS), np.uint8)
+    solid = kind != _SPACE
+    fresh = np.ones(len(raw), bool)
+    np.logical_not(solid[:-1], out=fresh[1:])
+    fresh[starts[starts < len(raw)]] = True
+    letter = (kind == _LETTER) | (kind == _HIGH)
+    turns = np.flatnonzero((kind[1:] == _SIGN) & letter[:-1] & ~fresh[1:]) + 1
+    fresh &= solid
+    words = np.flatnonzero(fresh)
+    owner = np.searchsorted(words, turns, "right") - 1
+    first = (np.diff(owner, prepend=-1) != 0) & letter[words[owner]]
+    turns, owner = turns[first], owner[first]
+    # words that stay as they are
+    odd = np.zeros(len(words), bool)
+    strange = np.flatnonzero((kind == _CONTROL) | (raw == ord("<")))
+    strange = strange[(kind[strange] == _CONTROL) | (raw[np.minimum(strange + 1, len(raw) - 1)] == ord("|"))]
+    odd[np.searchsorted(words, strange, "right") - 1] = True
+    high = np.flatnonzero(kind == _HIGH)
+    if len(high):
+        sign = np.where(letter[words], len(raw), words)  # the first one of each word
+        sign[owner] = turns
+        holder = np.searchsorted(words, high, "right") - 1
+        odd[holder[(high > sign[holder]) | ~_latin(raw, high)]] = True
+    small = np.frombuffer(bytearray(data.translate(_SMALL)), np.uint8)
+    if odd.any():
+        ends = np.append(words[1:], len(raw))
+        edges = np.zeros(len(raw) + 1, np.int8)
+        edges[words[odd]] += 1
+        edges[ends[odd]] -= 1
+        np.copyto(small, raw, where=np.cumsum(edges[:-1], dtype=np.int8).view(bool))
+    fresh[turns[~odd[owner]]] = True
+    return small[solid], np.flatnonzero(fresh[solid]), np.flatnonzero(fresh)
 
 
 class WordTokenizer:
@@ -45,10 +108,10 @@ class WordTokenizer:
 
     For vocabularies that lower-case, drop white space and part letters from
     other signs, a text's ids are its words' ids in a row, and a word's ids those
-    of its letters and of the signs behind.  Memory has two generations: words
-    that recur move to the young one, the old one is let go when the young one is
-    full.  New pieces are encoded together, a special token (found before any
-    other step) between them.
+    of its letters and of the signs behind.  Memory of such pieces has two
+    generations: those that recur move to the young one, the old one is let go
+    when the young one is full.  New pieces are encoded together, a special token
+    (found before any other step) between them.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,15 +119,14 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.words: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})
-        self.pieces: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.pieces: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})
         special = self.model.get_added_tokens_decoder()
         self.specials = [t.content for t in special.values()]
         self.mark = next(((i, t.content) for i, t in special.items() if t.special), None)
         parts = json.loads(self.model.to_str())
         steps = json.dumps([parts["normalizer"], parts["pre_tokenizer"]])
-        #: Whether the vocabulary is of that kind; with any other, texts are encoded whole.
-        self.parted = '"Lowercase"' in steps and "[\\\\p{L}]+" in steps
+        #: Whether the vocabulary is of that kind and its special tokens are known by ``<|``; with any other, texts are encoded whole.
+        self.parted = '"Lowercase"' in steps and "[\\\\p{L}]+" in steps and all("<|" in t and not re.search("\\s", t) for t in self.specials)
         self.ends = self._letters(parts) if self.parted else None
 
     def _letters(self, parts: dict) -> np.ndarray | None:
@@ -107,8 +169,7 @@ class WordTokenizer:
             return self._encode_any(texts)
         raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
         found = dict(zip(words, map(raw.__getitem__, map(slice, at, at[1:])), strict=False))
-        if len(found) < len(texts):
-            others = [t for t in texts if t not in found]
+        if others := [t for t in texts if t not in found]:
             found.update(zip(others, self._encode_any(others), strict=True))
         return [found[t] for t in texts]
 
@@ -122,37 +183,76 @@ class WordTokenizer:
         raw = ids.tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
-    def _parts(self, word: bytes) -> tuple[str, str]:
-        if self.parted and word.isalpha():  # ASCII letters only
-            return word.lower().decode(), ""
-        text = word.decode("utf-8", "replace")
-        if self.parted and (m := LATIN_WORD.fullmatch(text)) and "<|" not in text:
-            return m[1].lower(), m[2] or ""
-        return text, ""
-
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
+        return next(self.each(pa.array([text.encode("utf-8", "surrogatepass")], pa.large_binary()).view(pa.large_string())))
+
+    def each(self, texts: pa.Array) -> Iterator[bytes]:
+        """Of each text, little-endian unsigned 32-bit ids of the whole; null is an empty one.
+
+        Distinct words of a slice of texts are found first and looked up once.
+        """
         if not self.parted:  # white space may be part of ids, or words depend on what is beside them
-            return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.encode("utf-8", "surrogatepass").split()  # on ASCII white space
-        young = self.words[0]
-        out = list(map(young.get, words))
+            for text in texts.to_pylist():
+                yield np.array(self.model.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+            return
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            done = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+            some = texts.slice(at, stop - at).cast(pa.large_string())
+            yield from self._slice(some) if ends[stop - 1] - done <= SLICE_BYTES else [b"".join(self._slice(_split(some)))]
+            at = stop
+
+    def _slice(self, texts: pa.Array) -> Iterator[bytes]:
+        texts = pc.fill_null(texts, "")
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset)
+        raw = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+        if not len(raw):
+            yield from repeat(b"", len(texts))
+            return
+        letters, places, at = cut_words(raw, offsets[:-1] - offsets[0])
+        places = np.append(places, len(letters))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(places), pa.py_buffer(letters)]).dictionary_encode()
+        known = pa.array(self._piece_ids(pieces.dictionary.to_pylist()), pa.large_binary())
+        _, ends, ids = known.take(pieces.indices).buffers()
+        ends = np.frombuffer(ends, np.int64, len(at) + 1)[np.searchsorted(at, offsets - offsets[0])].tolist()
+        view = memoryview(ids or b"")
+        for a, b in zip(ends, ends[1:], strict=False):
+            yield view[a:b].tobytes()
+
+    def _piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each of some distinct pieces of words."""
+        young = self.pieces[0]
+        out = list(map(young.get, pieces))
         gaps = list(compress(count(), map(is_, out, repeat(None))))
-        if gaps and (new := _recall(self.words, {words[i] for i in gaps})):
-            parts = [self._parts(w) for w in new]
-            pieces = self.pieces[0]
-            unseen = _recall(self.pieces, {p for pair in parts for p in pair if p}.difference(pieces))
-            if unseen:
-                pieces.update(zip(unseen, self._encode(unseen), strict=True))
-            pieces[""] = b""
-            young.update((w, pieces[a] + pieces[b]) for w, (a, b) in zip(new, parts, strict=True))
+        new = _recall(self.pieces, {pieces[i] for i in gaps})
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            young.update(zip(some, self._encode(list(map(_text, some))), strict=True))
         for i in gaps:
-            out[i] = young[words[i]]
-        if len(young) > MEMO_WORDS:
-            self.words = ({}, young)
-        if len(self.pieces[0]) > MEMO_WORDS:
-            self.pieces = ({}, self.pieces[0])
-        return b"".join(out)
+            out[i] = young[pieces[i]]
+        if len(young) > MEMO_PIECES:
+            self.pieces = ({}, young)
+        return out
+
+
+def _split(text: pa.Array) -> pa.Array:
+    """A long text, parted before white space into parts of ``SLICE_BYTES`` and the word that ends there."""
+    data = text.view(pa.large_binary())[0].as_py()
+    cuts = [0]
+    while cuts[-1] < len(data):
+        space = _SPACES.search(data, cuts[-1] + SLICE_BYTES)
+        cuts.append(space.start() if space else len(data))
+    places = pa.py_buffer(np.array(cuts, np.int64))
+    return pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, places, pa.py_buffer(data)])
+
+
+def _text(piece: bytes) -> str:
+    text = piece.decode("utf-8", "replace")
+    return text.lower() if not text.isascii() and LATIN_LETTERS.fullmatch(text) else text
 
 
 def _recall(memory: tuple[dict, dict], keys: set) -> list:
@@ -285,12 +385,13 @@ def pack(
 
     def pack_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, packer = tokenizer(tokenizer_path).ids, Packer(size, open_windows, part << 28)
+        encode, packer = tokenizer(tokenizer_path).each, Packer(size, open_windows, part << 28)
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encode(text or "") + last
+            docs, texts, places = batch.columns
+            for doc, ids, at in zip(docs.to_pylist(), encode(texts), places.to_pylist(), strict=True):
+                ids += last
                 for window in packer.add(doc, 0, ids, len(ids) // 4, at):
                     rows += window
                 if len(rows) >= 512:
